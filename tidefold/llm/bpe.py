@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Callable, Iterable
 from heapq import heappop, heappush
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -14,92 +14,75 @@ from pyspark.sql import functions as F
 
 from ._common import map_text
 
-_WORD = 256
-#: Entries of each of a task's two cache generations.
-CACHE = 150_000
+#: Entries of each of a task's caches: pre-tokens, and two generations of stretches between spaces.
+CACHE = 300_000
 
 
-class RankQueue:
-    """Buckets per merge rank hold the list positions of waiting pairs.
+def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one pre-token: the lowest-ranked adjacent pair merges first, the leftmost of equals.
 
-    Which buckets have entries is kept in bitmaps on two levels (a summary word over leaf words);
-    find-first-set on the summary, then on a leaf, gives the lowest rank. A bucket is a heap of
-    positions, so equal ranks come leftmost first. Entries aren't removed when a pair goes:
-    the reader skips stale ones.
+    Pairs wait in a rank queue. A bucket for each merge rank holds the list positions of its pairs,
+    as a heap, so that equal ranks come leftmost first. Which buckets have entries is kept in a
+    bitmap of two levels, a summary word over leaf words of 256 ranks: find-first-set on the summary,
+    then on a leaf, gives the lowest rank. An entry isn't taken out when its pair goes; it is stale
+    then, and skipped when its turn comes.
     """
-
-    __slots__ = ("buckets", "leaves", "summary")
-
-    def __init__(self) -> None:
-        self.summary = 0
-        self.leaves: dict[int, int] = {}
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        word = rank // _WORD
-        self.leaves[word] = self.leaves.get(word, 0) | 1 << rank % _WORD
-        self.summary |= 1 << word
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.summary:
-            return None
-        word = (self.summary & -self.summary).bit_length() - 1
-        leaf = self.leaves[word]
-        rank = word * _WORD + (leaf & -leaf).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            leaf &= leaf - 1
-            self.leaves[word] = leaf
-            if not leaf:
-                self.summary &= self.summary - 1
-        return rank, position
-
-
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: the lowest-ranked adjacent pair merges first, the leftmost of equals."""
-    whole = ranks.get(piece)
+    get = ranks.get
+    whole = get(piece)
     if whole is not None:
         return [whole]
     n = len(piece)
     end = list(range(1, n + 1))  # end of the part that starts at i
     before = list(range(-1, n - 1))  # start of the part before the part at i
-    pair = [-1] * n  # rank of the part at i with its right neighbour
-    queue = RankQueue()
-    for i in range(n - 1):
-        rank = ranks.get(piece[i : i + 2])
-        if rank is not None:
-            pair[i] = rank
-            queue.push(rank, i)
-    while (top := queue.pop()) is not None:
-        rank, i = top
+    pair = [get(piece[i : i + 2], -1) for i in range(n)]  # rank of the part at i with its right neighbour
+    pair[-1] = -1
+    summary, leaves, buckets = 0, {}, {}
+    waiting = [(r, i) for i, r in enumerate(pair) if r >= 0]
+    while True:
+        for rank, i in waiting:
+            bucket = buckets.get(rank)
+            if bucket is None:
+                buckets[rank] = [i]
+                word = rank >> 8
+                leaves[word] = leaves.get(word, 0) | 1 << (rank & 255)
+                summary |= 1 << word
+            else:
+                heappush(bucket, i)
+        if not summary:
+            break
+        word = (summary & -summary).bit_length() - 1
+        leaf = leaves[word]
+        rank = (word << 8) + (leaf & -leaf).bit_length() - 1
+        bucket = buckets[rank]
+        if len(bucket) > 1:
+            i = heappop(bucket)
+        else:
+            i = bucket[0]
+            del buckets[rank]
+            leaf &= leaf - 1
+            leaves[word] = leaf
+            if not leaf:
+                summary &= summary - 1
+        waiting = []
         if pair[i] != rank:
             continue
         gone = end[i]
         stop = end[i] = end[gone]
-        pair[gone] = -1
+        pair[gone] = pair[i] = -1
         if stop < n:
             before[stop] = i
-            new = ranks.get(piece[i : end[stop]])
-        else:
-            new = None
-        pair[i] = -1 if new is None else new
-        if new is not None:
-            queue.push(new, i)
+            new = get(piece[i : end[stop]])
+            if new is not None:
+                pair[i] = new
+                waiting.append((new, i))
         j = before[i]
         if j >= 0:
-            new = ranks.get(piece[j:stop])
+            new = get(piece[j:stop])
             if new is None:
                 pair[j] = -1
             elif pair[j] != new:
                 pair[j] = new
-                queue.push(new, j)
+                waiting.append((new, j))
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i : end[i]]])
@@ -157,24 +140,25 @@ class Encoder:
 
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[str, bytes] = {}
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.cache = ChunkCache(self._encode)
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = tuple(merge(piece.encode(), self.ranks))
-            if len(self.pieces) >= CACHE:
+    def _piece(self, piece: str) -> bytes:
+        packed = self.pieces.get(piece)
+        if packed is None:
+            ids = merge(piece.encode(), self.ranks)
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self.pieces) >= 2 * CACHE:
                 self.pieces.clear()
-            self.pieces[piece] = ids
-        return ids
+            self.pieces[piece] = packed
+        return packed
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         split, piece = self.split, self._piece
-        return [np.fromiter(chain.from_iterable(map(piece, split(t))), "<u4").tobytes() for t in texts]
+        return [b"".join(map(piece, split(t))) for t in texts]
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.cache.packed(text), "<u4").tolist()
