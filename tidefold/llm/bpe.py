@@ -6,6 +6,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Callable, Iterable
+from functools import lru_cache
 from heapq import heappop, heappush
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from ._common import map_text
 
 #: Entries of each of a task's caches: pre-tokens, and two generations of stretches between spaces.
-CACHE = 300_000
+CACHE = 400_000
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -133,7 +134,7 @@ class ChunkCache:
 
 
 class Encoder:
-    """Encodes and decodes by a rank file; built once in each task."""
+    """Encodes and decodes by a rank file."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         import regex
@@ -151,7 +152,7 @@ class Encoder:
         if packed is None:
             ids = merge(piece.encode(), self.ranks)
             packed = struct.pack(f"<{len(ids)}I", *ids)
-            if len(self.pieces) >= 2 * CACHE:
+            if len(self.pieces) >= CACHE:
                 self.pieces.clear()
             self.pieces[piece] = packed
         return packed
@@ -167,11 +168,17 @@ class Encoder:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str, pattern: str) -> Encoder:
+    """A worker process keeps the encoder, with its caches, from task to task."""
+    return Encoder(load_ranks(path), pattern)
+
+
 def encode_texts(df: DataFrame, path: str, pattern: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """Append the array of ids of each whole text; a null text counts as empty. Other columns pass through."""
 
     def make():
-        encoder = Encoder(load_ranks(path), pattern)
+        encoder = encoder_of(path, pattern)
         return lambda texts: [[encoder.encode(t or "") for t in texts]]
 
     return map_text(df, text_col, f"`{out_col}` array<int>", make, df.columns)
@@ -185,7 +192,7 @@ def decode_ids(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "d
     schema = StructType([f for f in df.schema.fields if f.name != out_col] + [StructField(out_col, BinaryType())])
 
     def run(batches):
-        encoder = Encoder(load_ranks(path), r"\S+|\s+")
+        encoder = encoder_of(path, r"\S+|\s+")
         for batch in batches:
             decoded = pa.array([encoder.decode(ids or ()) for ids in batch.column(ids_col).to_pylist()], type=pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in schema.names[:-1]] + [decoded], names=schema.names)
@@ -200,7 +207,7 @@ def bpe_digest(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
     """
 
     def make():
-        encoder = Encoder(load_ranks(path), pattern)
+        encoder = encoder_of(path, pattern)
         shown = [str(i) for i in range(len(encoder.tokens))]
 
         def work(texts):

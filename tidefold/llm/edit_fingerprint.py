@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import accumulate
 from operator import getitem, itemgetter
 
@@ -82,6 +83,12 @@ class Walk:
         return self.sample(codes, entered, end)
 
 
+@lru_cache(maxsize=1)
+def shared_walk() -> Walk:
+    """A worker process keeps the tables from task to task."""
+    return Walk()
+
+
 def likeness(a: str, b: str) -> float:
     """Share of equal samples, octaves weighed by width; samples beyond both ends don't count. Two empty ones are equal."""
     n = max(len(a), len(b))
@@ -108,7 +115,7 @@ def fingerprints(df: DataFrame, text_col: str = "text", out_col: str = "fingerpr
     from ._common import map_text
 
     def make():
-        walk = Walk()
+        walk = shared_walk()
         return lambda texts: [[walk.fingerprint(t or "") for t in texts]]
 
     return map_text(df, text_col, f"`{out_col}` string", make, df.columns)
@@ -172,7 +179,7 @@ def edited_digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     schema = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), *_digest_schema(docs).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        walk = Walk()
+        walk = shared_walk()
         last = None  # (bucket, doc_id, codes, entered, end, fingerprint) of the row before
         id_type = None
         for batch in batches:
