@@ -174,24 +174,22 @@ def pieces(df: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY,
 def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Append sequence_id and offset to pieces (doc_id, piece, start, length, ids_crc32).
 
-    All pieces are placed, repeated rows too; an empty input gives no rows. Ranks come from shares
-    of each length: counts of the shares (SHARES for each length at most) give where a share starts.
+    All pieces are placed, repeated rows too; an empty input gives no rows. A piece's rank is its
+    place in a share of its length, after all earlier shares; the driver sees one count for each length.
     """
     spark: SparkSession = found.sparkSession
     share = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SHARES)).cast("int")
     found = checkpoint(found.withColumn("share", share))
-    sizes = found.groupBy("length", "share").agg(F.count(F.lit(1)).alias("n")).collect()
-    counts: dict[int, int] = defaultdict(int)
-    starts = []
-    for r in sorted(sizes):
-        starts.append((r["length"], r["share"], counts[r["length"]]))
-        counts[r["length"]] += r["n"]
-    first = spark.createDataFrame(starts, "length long, share int, first long")
+    sizes = checkpoint(found.groupBy("length", "share").agg(F.count(F.lit(1)).alias("n")))
+    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    earlier = W.partitionBy("length").orderBy("share").rowsBetween(W.unboundedPreceding, -1)
+    first = sizes.select("length", "share", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
     runs = spark.createDataFrame(plan(counts, capacity), "length long, rank long, n long, sequence long, offset long")
-    # both tables have a bound that doesn't depend on the input: capacity x SHARES, and a few runs for each length
     order = W.partitionBy("length", "share").orderBy("doc_id", "piece", "start", "ids_crc32")
-    ranked = found.withColumn("k", F.row_number().over(order) - 1).join(F.broadcast(first), ["length", "share"])
+    # the pieces are already dealt by length and share, so joining the shares' starts moves only those
+    ranked = found.withColumn("k", F.row_number().over(order) - 1).join(first, ["length", "share"])
     ranked = ranked.withColumn("rank", F.col("first") + F.col("k")).drop("share", "first", "k")
+    # a few runs for each length: a bound that doesn't depend on the input, so they are broadcast
     table = runs.groupBy("length").agg(
         F.sort_array(F.collect_list(F.struct("rank", "n", "sequence", "offset"))).alias("runs")
     )
