@@ -48,6 +48,7 @@ def ingest(store: Store, lines: DataFrame, include: list[str] = (), exclude: lis
     if batch and store.tag("event") == batch:
         return UploadResult()
     records = classify(lines, include, exclude, ts).persist()
+    resolved = None
     try:
         counts = {r["kind"]: r for r in statistics(records).collect()}
         n = lambda k: counts[k]["n"] if k in counts else 0
@@ -58,7 +59,7 @@ def ingest(store: Store, lines: DataFrame, include: list[str] = (), exclude: lis
         mapping = store.read("id_mapping")
         resolved = resolve(good, mapping).withColumn(
             "doc", F.map_concat(F.map_filter("doc", lambda k, _: k != "#user_id"), F.create_map(F.lit("#user_id"), F.col("user_id").cast("string")))
-        )
+        ).persist()  # three tables are made from it; the plans stay small too
         if not (batch and store.tag("id_mapping") == batch):  # else an earlier try got this far
             store.write("id_mapping", bindings(resolved, mapping), batch)
         if not (batch and store.tag("user") == batch):
@@ -71,3 +72,5 @@ def ingest(store: Store, lines: DataFrame, include: list[str] = (), exclude: lis
         return result
     finally:
         records.unpersist()
+        if resolved is not None:
+            resolved.unpersist()
