@@ -2,10 +2,12 @@
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 import xxhash
 from public_tokenizers import PATTERN, path
@@ -116,8 +118,6 @@ def test_bpe_matches_library(docs):
 def test_bpe_queue_on_long_pieces_and_white_space():
     own = reference_encoding()
     e = bpe.Encoder(bpe.load_ranks(path("byte_bpe_multi_50k.tiktoken")), PATTERN)
-    import random
-
     rng = random.Random(3)
     for n in (3, 50, 700, 20_000):
         text = "".join(rng.choice("abcdeé") for _ in range(n)) + "aaaa" * n
@@ -334,9 +334,23 @@ def test_packing(spark, docs):
     assert len(bins) <= -(-total // 2048) + 2
 
 
-def test_packing_plans_are_whole_and_tight():
-    import random
+def test_packing_ids_are_those_of_the_tokenizer_file():
+    from tokenizers import Tokenizer
+
+    file = path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(file)
+    tokenizer.encode_special_tokens = True
+    encode = packing.encoder(file)
+    assert len(packing.ranks_of(file)) == 50256 and packing.ranks_of(path("word_bpe_49k.json")) is None
+    rng = random.Random(8)
+    kinds = ["a", "the ", "é", " ", "  ", "\n", "\r\n", "\t", "12", "'s", "'LL", "\u00a0", "\u0085", "\u2028", "中", "😀", "\x00", "\x1c", "<|endoftext|>", "--"]
+    texts = ["".join(rng.choices(kinds, k=rng.randint(0, 60))) for _ in range(400)]
+    for text in [None, "", "ab" * 50_000, " \n" * 1_000_000, *texts]:
+        want = tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert encode(text) == np.array(want, "<u4").tobytes()
 
+
+def test_packing_plans_are_whole_and_tight():
     rng = random.Random(5)
     for capacity in (10, 37, 100):
         for _ in range(60):
@@ -394,8 +408,6 @@ def test_walk_by_definition():
 
 
 def test_walk_survives_edits():
-    import random
-
     rng = random.Random(1)
     text = "".join(rng.choice("abcdefghij klmnop") for _ in range(4000))
     walk = edit_fingerprint.Walk()

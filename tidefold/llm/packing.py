@@ -7,6 +7,7 @@ their rank among pieces of their length.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections import defaultdict
 from collections.abc import Callable
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ._common import checkpoint, map_text
-from .bpe import ChunkCache
 
 CAPACITY = 2048
 #: Pieces of a length are ranked within this many shares, so that a common length isn't one task's work.
@@ -128,32 +128,77 @@ def cut(packed: bytes, capacity: int = CAPACITY) -> list[tuple[int, int, int, in
     return [(k, a, b - a, zlib.crc32(packed[4 * a : 4 * b])) for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False))]
 
 
+#: Fixed value: how the byte-level pre-tokenizer of the tokenizers library splits a text.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def byte_characters() -> dict[str, int]:
+    """The character that stands for each byte in a byte-level vocabulary: its own if it is visible in Latin-1, else one from 256 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = sorted(set(range(256)) - set(visible))
+    return {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+def ranks_of(path: str) -> dict[bytes, int] | None:
+    """Ranks equivalent to a tokenizer file, or None if it has no such form.
+
+    It has if it splits texts as BYTE_LEVEL does and nothing more, and if its merges are in the order
+    of the ids that they make, so that the earliest merge and the lowest id are the same choice.
+    """
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    model, split = file["model"], file.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not any(
+        model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    )
+    if not plain or file.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+        return None
+    if any(not t["special"] for t in file.get("added_tokens") or []):
+        return None  # such a token is found in texts before they are split
+    vocab, as_byte = model["vocab"], byte_characters()
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [vocab.get("".join(m), -1) for m in pairs]
+    singles = [vocab.get(c, -1) for c in as_byte]
+    if min(singles) < 0 or any(x >= y for x, y in zip([max(singles), *made], made, strict=False)):
+        return None
+    special = {t["content"] for t in file.get("added_tokens") or []}
+    tokens = {t: i for t, i in vocab.items() if t not in special}
+    if len(tokens) != len(singles) + len(made) or any(c not in as_byte for t in tokens for c in t):
+        return None
+    return {bytes(as_byte[c] for c in t): i for t, i in tokens.items()}
+
+
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Callable[[str | None], bytes]:
     """Packed little-endian ids of a text by a tokenizer file, special strings being ordinary text.
 
-    A worker process keeps it, with its caches, from task to task.
+    A file that has equivalent ranks is encoded from those by tiktoken, which gives the ids of the
+    tokenizers library in a third of its time; any other file by that library, and so is a text that
+    tiktoken's pattern engine gives up on (a run of millions of white space). A worker process keeps
+    the encoder from task to task.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
 
-    opens = np.zeros(tokenizer.get_vocab_size(), bool)  # tokens that begin with a space
-    opens[[i for token, i in tokenizer.get_vocab().items() if token.startswith("\u0120")]] = True
-
-    def encode(texts: list[str]) -> list[bytes]:
-        if len(texts) > 1:
-            # stretches that each begin with their only space: encoded as one text, and cut before each space
-            ids = np.array(tokenizer.encode("".join(texts), add_special_tokens=False).ids, "<u4")
-            starts = (4 * np.flatnonzero(opens[ids])).tolist()
-            if len(starts) == len(texts):
-                packed = ids.tobytes()
-                return [packed[i:j] for i, j in zip(starts, [*starts[1:], len(packed)], strict=True)]
-        return [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
-
-    cache = ChunkCache(encode)
-    return lambda text: cache.packed(text or "")
+    def by_tokenizers(text: str | None) -> bytes:
+        return np.array(tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
+
+    ranks = ranks_of(path)
+    if ranks is None:
+        return by_tokenizers
+    import tiktoken
+
+    numbers = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
+
+    def by_ranks(text: str | None) -> bytes:
+        try:
+            return numbers(text or "", disallowed_special=()).astype("<u4", copy=False).tobytes()
+        except ValueError:
+            return by_tokenizers(text)
+
+    return by_ranks
 
 
 def pieces(df: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
