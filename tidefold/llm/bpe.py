@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 
 from ._common import map_text
 
-#: Entries of each of a task's caches: pre-tokens, and two generations of stretches between spaces.
+#: Entries of each of the two generations of a worker's cache of stretches between spaces.
 CACHE = 400_000
+#: Pre-tokens that are kept with their ids.
+PIECES = 800_000
+_BIT = [1 << i for i in range(256)]
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -35,22 +38,20 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     n = len(piece)
     end = list(range(1, n + 1))  # end of the part that starts at i
     before = list(range(-1, n - 1))  # start of the part before the part at i
-    pair = [get(piece[i : i + 2], -1) for i in range(n)]  # rank of the part at i with its right neighbour
-    pair[-1] = -1
+    pair = [get(piece[i : i + 2]) for i in range(n - 1)]  # rank of the part at i with its right neighbour
+    pair.append(None)
     summary, leaves, buckets = 0, {}, {}
-    waiting = [(r, i) for i, r in enumerate(pair) if r >= 0]
-    while True:
-        for rank, i in waiting:
-            bucket = buckets.get(rank)
-            if bucket is None:
-                buckets[rank] = [i]
-                word = rank >> 8
-                leaves[word] = leaves.get(word, 0) | 1 << (rank & 255)
-                summary |= 1 << word
-            else:
-                heappush(bucket, i)
-        if not summary:
-            break
+    for i, rank in enumerate(pair):
+        if rank is None:
+            continue
+        if rank in buckets:
+            buckets[rank].append(i)  # ascending positions are a heap already
+        else:
+            buckets[rank] = [i]
+            word = rank >> 8
+            leaves[word] = leaves.get(word, 0) | _BIT[rank & 255]
+            summary |= 1 << word
+    while summary:
         word = (summary & -summary).bit_length() - 1
         leaf = leaves[word]
         rank = (word << 8) + (leaf & -leaf).bit_length() - 1
@@ -64,26 +65,33 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
             leaves[word] = leaf
             if not leaf:
                 summary &= summary - 1
-        waiting = []
         if pair[i] != rank:
             continue
         gone = end[i]
         stop = end[i] = end[gone]
-        pair[gone] = pair[i] = -1
+        pair[gone] = None
         if stop < n:
             before[stop] = i
-            new = get(piece[i : end[stop]])
+            new = pair[i] = get(piece[i : end[stop]])
+        else:
+            new = pair[i] = None
+        at, left = i, before[i]
+        while True:  # first the pair of the new part with its right neighbour, then with its left one
             if new is not None:
-                pair[i] = new
-                waiting.append((new, i))
-        j = before[i]
-        if j >= 0:
-            new = get(piece[j:stop])
-            if new is None:
-                pair[j] = -1
-            elif pair[j] != new:
-                pair[j] = new
-                waiting.append((new, j))
+                if new in buckets:
+                    heappush(buckets[new], at)
+                else:
+                    buckets[new] = [at]
+                    word = new >> 8
+                    leaves[word] = leaves.get(word, 0) | _BIT[new & 255]
+                    summary |= 1 << word
+            if left < 0:
+                break
+            new = get(piece[left:stop])
+            if pair[left] == new:
+                break
+            pair[left] = new
+            at, left = left, -1
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i : end[i]]])
@@ -152,7 +160,7 @@ class Encoder:
         if packed is None:
             ids = merge(piece.encode(), self.ranks)
             packed = struct.pack(f"<{len(ids)}I", *ids)
-            if len(self.pieces) >= CACHE:
+            if len(self.pieces) >= PIECES:
                 self.pieces.clear()
             self.pieces[piece] = packed
         return packed
