@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import documents
 from .config_store import ConfigStore
+from .document_store import DocumentStore
 from .ingest import UploadResult, ingest
 from .sql_api import SqlApi, SqlResult
 from .store import Store
@@ -19,6 +20,7 @@ from .store import Store
 class Engine:
     def __init__(self, spark: SparkSession, root: str, include: list[str] = (), exclude: list[str] = (), use_config: bool = True) -> None:
         self.spark, self.store, self.config = spark, Store(spark, root), ConfigStore(spark, root)
+        self.documents = DocumentStore(self.store)
         self.include, self.exclude, self.use_config = list(include), list(exclude), use_config
 
     def rules(self) -> tuple[list[str], list[str]]:
@@ -46,7 +48,7 @@ class Engine:
         return ingest(self.store, lines, include, exclude, ts, batch)
 
     def sql(self, statement: str) -> SqlResult:
-        return SqlApi(self.store).execute(statement)
+        return SqlApi(self.documents).execute(statement)
 
     def ejson(self, request: dict[str, Any]) -> dict[str, Any]:
         """One request: action, collection, database, then its operands."""
@@ -55,7 +57,7 @@ class Engine:
             raise documents.DocumentError("action is required")
         if not name:
             raise documents.DocumentError("collection is required")
-        df = self.store.read(name)
+        df = self.documents.read(name)
         args = {k: request.get(v) for k, v in (("query", "filter"), ("projection", "projection"), ("sort", "sort"))}
         if action in ("find", "findOne"):
             limit = 1 if action == "findOne" else request.get("limit") or 0
@@ -64,7 +66,7 @@ class Engine:
                 return {"documents": rows}
             return {"document": rows[0]} if rows else {}
         if action == "aggregate":
-            tables = {t: self.store.read(t) for t in self.store.tables()}
+            tables = {t: self.documents.read(t) for t in self.documents.tables()}
             return {"documents": [] if df is None else _plain(documents.aggregate(df, request.get("pipeline"), tables))}
         if action == "insertOne":
             if not request.get("document"):
@@ -75,14 +77,14 @@ class Engine:
         if action == "deleteOne":
             key = None if df is None else documents.first_match(df, request.get("filter"))
             if key is not None:
-                self.store.write(name, df.where(~F.col("_id").eqNullSafe(key)))
+                self.documents.write(name, df.where(~F.col("_id").eqNullSafe(key)))
             return {"deletedCount": int(key is not None)}
         raise documents.DocumentError(f"unknown action {action}")
 
     def _insert(self, name: str, df: DataFrame | None, document: dict) -> str:
         key = document.get("_id", uuid.uuid4().hex[:24])
         row = self.spark.read.json(self.spark.sparkContext.parallelize([json.dumps({**document, "_id": key})]))
-        self.store.write(name, row if df is None else df.unionByName(row, allowMissingColumns=True))
+        self.documents.write(name, row if df is None else df.unionByName(row, allowMissingColumns=True))
         return key
 
     def _update(self, name: str, df: DataFrame | None, request: dict) -> dict[str, Any]:
@@ -96,7 +98,7 @@ class Engine:
             old_row, new_row = (x.where(chosen).drop("_id") for x in (df, new))
             changed = _plain(old_row) != _plain(new_row)
             if changed:
-                self.store.write(name, new)
+                self.documents.write(name, new)
             return {"matchedCount": 1, "modifiedCount": int(changed)}
         if not request.get("upsert"):
             return {"matchedCount": 0, "modifiedCount": 0}

@@ -9,7 +9,7 @@ from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from .store import Store
+from .document_store import DocumentStore
 
 
 class SqlError(ValueError):
@@ -62,7 +62,7 @@ def split_top(text: str, mark: str = ",") -> list[str]:
 
 @dataclass
 class SqlApi:
-    store: Store
+    store: DocumentStore
     extra: dict[str, DataFrame] = field(default_factory=dict)
 
     def _table(self, name: str) -> tuple[str, DataFrame]:
