@@ -297,6 +297,22 @@ def test_quality_rules(docs):
     assert all(r["kept"] == (not r["base_failed"] and r["quality"] >= 0.5) for r in got)
 
 
+def test_variety_reads_the_whole_text(spark, docs):
+    rng = random.Random(4)
+    ordinary = [f"word{k}" for k in range(400)]
+    tiny = [rng.choice("abcdefghij") * 3 for _ in range(6000)]
+    rows = [(1, " ".join(ordinary + tiny)), (2, " ".join(tiny[:400] + [f"{w}{k}" for k in range(15) for w in ordinary])), (3, " ".join(ordinary * 15))]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["vote"] for r in quality_rules.measures(made).select("doc_id", quality_rules.votes().substr(7, 1).alias("vote")).collect()}
+    assert got == {1: "b", 2: "g", 3: "g"}
+    both = docs.unionByName(made)
+    want = []
+    for i, t in rows_of(both):
+        words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        want.append((i, sum(len(set(words[k : k + 400])) for k in range(0, len(words), 400))))
+    assert counted(map(tuple, quality_rules.measures(both).select("doc_id", "n_distinct").collect())) == counted(want)
+
+
 def test_rule_estimates():
     patterns = {"ggggggg": 900, "bg-ggbb": 30, "bbbbbbb": 40, "g-g-g-g": 60, "bgggggg": 5}
     prior, right = quality_rules.estimate(patterns)

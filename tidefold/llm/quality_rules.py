@@ -16,6 +16,8 @@ from ._common import checkpoint, let
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 RUN = 8
+#: Distinct words are counted in each block of so many words, so that their share doesn't fall with length.
+BLOCK = 400
 #: name, measure, votes bad beyond the first bound and good within the second, abstaining between.
 #: The bounds.
 RULES = (
@@ -25,7 +27,7 @@ RULES = (
     ("word_length", "abs(word_chars / greatest(n_words, 1) - 5.5)", 4.5, 2.5),
     ("capitals", "100.0 * n_capitals / greatest(word_chars, 1)", 40.0, 12.0),
     ("shouts", "100.0 * n_shouts / greatest(n_words, 1)", 30.0, 5.0),
-    ("variety", "100.0 - 100.0 * n_distinct / greatest(least(n_words, 400), 1)", 85.0, 70.0),
+    ("variety", "100.0 - 100.0 * n_distinct / greatest(n_words, 1)", 85.0, 70.0),
 )
 #: Good texts are taken to be the larger part, and a rule to be right more often than not.
 PRIOR, ACCURACY = 0.85, (0.6, 0.98)
@@ -61,6 +63,12 @@ def _repeats(words: Column) -> Column:
     return F.when(F.size(words) < RUN + 1, F.lit(0)).otherwise(let(windows, twice))
 
 
+def _distinct_in_blocks(words: Column) -> Column:
+    """Distinct words of each block, summed over all blocks of the text."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)), F.lit(BLOCK))
+    return F.aggregate(starts, F.lit(0), lambda n, at: n + F.size(F.array_distinct(F.slice(words, at, BLOCK))))
+
+
 def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The counts of each whole text that the rules read; a null text has none."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
@@ -71,7 +79,7 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             F.size(words).cast("long").alias("n_words"),
             F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
             _repeats(words).cast("long").alias("n_repeat_words"),
-            F.size(F.array_distinct(F.slice(words, 1, 400))).cast("long").alias("n_distinct"),
+            _distinct_in_blocks(words).cast("long").alias("n_distinct"),
             let(lines, lambda x: F.struct(F.size(x).cast("long").alias("all"), F.size(F.array_distinct(x)).cast("long").alias("distinct"))).alias("lines"),
         )
 
