@@ -465,6 +465,19 @@ def test_html_text(spark):
     assert sorted(r["n_chars"] for r in got) == [0, len(html_text.main_text(page))]
 
 
+def test_html_text_around_the_region():
+    long = "<p>words and more words of the real text here</p>" * 12
+    real = ["words and more words of the real text here"] * 12
+    got = html_text.main_text(f"<body><div><h1>Title</h1><div class=body>{long}</div></div></body>")
+    assert got.split("\n\n") == ["Title", *real]
+    sections = f"<body><div><section>{long}</section><section><h2>Note</h2><p>short part, <a>linked</a></p><p><a>source</a></p></section></div></body>"
+    assert html_text.main_text(sections).split("\n\n") == [*real, "Note", "short part, linked", "source"]
+    articles = f"<body><article><p>brief</p></article><article>{long}</article></body>"
+    assert html_text.main_text(articles).split("\n\n") == ["brief", *real]
+    links = "<div><ul>" + "<li><a href=x>elsewhere</a></li>" * 5 + "</ul></div>"
+    assert html_text.main_text(f"<body>{links}<h1><a>Title</a></h1><main>{long}<p><a>source</a></p></main>{links}</body>").split("\n\n") == ["Title", *real, "source"]
+
+
 # --- all on nothing
 
 

@@ -3,7 +3,8 @@
 The standard library's parser streams events into lines, one for each block of text, with the tags
 met in it. Ratios of text to tags are smoothed over neighbouring lines and split into two clusters;
 the dense lines mark the content region, the smallest container that holds nearly all of their
-text. All lines of that region which don't belong to page furniture are its text.
+text. All lines of that region which don't belong to page furniture are its text. Around it, lists
+of links go as furniture too; headings, sibling sections and all other lines stay.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ CONTAINERS = frozenset("article body div main section td blockquote".split())
 FURNITURE = frozenset(
     "head title script style noscript template nav header footer aside form button select textarea menu iframe object svg canvas dialog".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that end unclosed when another of theirs, or a block around them, begins or ends.
 LOOSE = frozenset("p li dd dt td th tr option".split())
@@ -42,30 +44,36 @@ _KERNEL = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-REACH, REACH
 
 
 class _Lines(HTMLParser):
-    """Collects (text, tags, containers, furniture) lines."""
+    """Collects (text, tags, containers, furniture, kind) lines."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.lines: list[tuple[str, int, tuple[int, ...], bool, str]] = []
         self.parts: list[str] = []
         self.tags = 0
         self.open: list[str] = []  # names of the open elements that matter here
         self.path: list[tuple[int, int]] = []  # (depth in open, number) of open containers
         self.names: list[str] = []  # name of each container by number
         self.out = 0  # depth in open from which all is furniture, or 0
+        self.link: int | None = None  # depth in open at which a link began
+        self.plain = False  # whether the line has text outside links
 
     def end_line(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append((text, self.tags, tuple(n for _, n in self.path), bool(self.out)))
+                kind = "heading" if self.open and self.open[-1] in HEADINGS else "prose" if self.plain else "links"
+                self.lines.append((text, self.tags, tuple(n for _, n in self.path), bool(self.out), kind))
                 self.tags = 0
             self.parts = []
+            self.plain = False
 
     def shut(self, depth: int) -> None:
         del self.open[depth:]
         while self.path and self.path[-1][0] >= depth:
             self.path.pop()
+        if self.link is not None and self.link > depth:
+            self.link = None
         if self.out > depth:
             self.out = 0
 
@@ -76,6 +84,8 @@ class _Lines(HTMLParser):
             while self.open and self.open[-1] == "p" or self.open and self.open[-1] == tag and tag in LOOSE:
                 self.shut(len(self.open) - 1)
         self.tags += 1
+        if tag == "a":
+            self.link = len(self.open)
         if tag == "br":
             self.parts.append(" ")
         if tag in VOID:
@@ -107,6 +117,8 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
+        if tag == "a":
+            self.link = None
         if tag not in BLOCKS and tag not in FURNITURE:
             return
         self.end_line()
@@ -120,6 +132,8 @@ class _Lines(HTMLParser):
 
     def handle_data(self, data):
         self.parts.append(data)
+        if self.link is None and not self.plain and not data.isspace():
+            self.plain = True
 
 
 def smoothed(ratios: list[float]) -> list[float]:
@@ -154,13 +168,13 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser.end_line()
     lines = parser.lines
-    if not any(not out for *_, out in lines):
+    if not any(not out for _, _, _, out, _ in lines):
         return ""
-    ratios = smoothed([0.0 if out else len(text) / max(1, tags) for text, tags, _, out in lines])
+    ratios = smoothed([0.0 if out else len(text) / max(1, tags) for text, tags, _, out, _ in lines])
     bound = threshold([r for r, line in zip(ratios, lines, strict=True) if not line[3]])
     mass: dict[int, int] = {}
     total = 0
-    for ratio, (text, _, path, out) in zip(ratios, lines, strict=True):
+    for ratio, (text, _, path, out, _) in zip(ratios, lines, strict=True):
         if ratio >= bound and not out:
             total += len(text)
             for n in path:
@@ -169,7 +183,18 @@ def main_text(html: str | None) -> str:
     region = [n for n, m in mass.items() if m >= SHARE * total]
     named = [n for n in region if parser.names[n] in ("article", "main")]
     chosen = max(named) if named else max(region, default=None)
-    kept = [text for text, _, path, out in lines if not out and (chosen is None or chosen in path)]
+    if chosen is None:
+        return "\n\n".join(text for text, _, _, out, _ in lines if not out)
+    inside = next(path for _, _, path, _, _ in lines if chosen in path)
+    around = set(inside[: inside.index(chosen)])
+    # the outermost container of each line that doesn't hold the region; one with prose is no list of links
+    sides = [next((n for n in path if n not in around), None) for _, _, path, _, _ in lines]
+    prose = {side for side, (*_, out, kind) in zip(sides, lines, strict=True) if side is not None and kind == "prose" and not out}
+    kept = [
+        text
+        for side, (text, _, _, out, kind) in zip(sides, lines, strict=True)
+        if not out and (side == chosen or kind != "links" or side in prose)
+    ]
     return "\n\n".join(kept)
 
 
