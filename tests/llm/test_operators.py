@@ -432,6 +432,28 @@ def test_walk_survives_edits():
     assert edit_fingerprint.likeness(own, own) == 1 and edit_fingerprint.likeness("", "") == 1
 
 
+def test_near_copies_stay_alike_after_ten_insertions():
+    rng = random.Random(2)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    walk = edit_fingerprint.Walk()
+    likes = []
+    for _ in range(60):
+        text = " ".join(rng.choice(words) for _ in range(350))
+        edited = text
+        for _ in range(10):
+            at = rng.randrange(len(edited))
+            edited = edited[:at] + rng.choice("etaoinshrdlu") + edited[at:]
+        likes.append(edit_fingerprint.likeness(*walk.fingerprints([text, edited])))
+    assert sum(x < 0.8 for x in likes) <= 6
+
+
+def test_walks_side_by_side():
+    rng = random.Random(6)
+    walk = edit_fingerprint.Walk()
+    texts = [None, "", "a", *("".join(rng.choice("abc é中") for _ in range(rng.choice([3, 70, 900, 9000]))) for _ in range(80)), "xy" * 200_000]
+    assert walk.fingerprints(texts) == [walk.fingerprint(t or "") for t in texts]
+
+
 def test_near_documents(spark):
     body = " ".join(f"word{k}x{k * 7 % 13}" for k in range(300))
     rows = [(1, body), (2, body), (3, body[:900] + "!" + body[900:]), (4, body[::-1]), (5, None), (6, "")]

@@ -5,6 +5,8 @@ stands on, and moves on if a random bit of (j, character) says so. Texts at a sm
 meet again soon after an edit, so edit distance becomes Hamming distance between the written
 strings. A fingerprint samples the written string at shared random steps, as many in each octave
 of steps, so that texts of all lengths are sampled evenly; likeness weighs an octave by its width.
+An edit after which a walk doesn't meet again makes near copies look unlike, so a fingerprint holds
+several independent walks, and likeness is that of the walk on which two texts agree best.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heapreplace
 from itertools import accumulate
 from operator import getitem, itemgetter
 
@@ -28,14 +31,22 @@ SEED = 20
 PERIOD, CLASSES = 4096, 64
 #: Octaves of steps (from 2**k), and samples in each. Longer texts are sampled up to the last octave's end.
 FIRST_OCTAVE, OCTAVES, SAMPLES = 4, 24, 16
+#: Independent walks of a fingerprint, and what stands between them in it.
+WALKS, BETWEEN = 4, "-"
+#: Texts are walked side by side, in groups of so many characters; ones longer than this share of a group go alone.
+GROUP, ALONE = 3_000_000, 0.25
 _HEX = "0123456789abcdef"
 
 
-class Walk:
-    """The shared walks, as an automaton whose state is a row of next states by class; its last entry is the step."""
+def classes_of(codes: np.ndarray) -> np.ndarray:
+    return ((codes * np.uint32(2654435761)) >> np.uint32(26)).astype(np.uint8)
 
-    def __init__(self) -> None:
-        rng = np.random.default_rng(SEED)
+
+class OneWalk:
+    """A shared walk, as an automaton whose state is a row of next states by class; its last entry is the step."""
+
+    def __init__(self, seed: int = SEED) -> None:
+        rng = np.random.default_rng(seed)
         moves = rng.integers(0, 2, (CLASSES, PERIOD), np.int8).astype(bool)
         moves[:, -1] = True
         # for each class and step, the step after the next move
@@ -49,6 +60,7 @@ class Walk:
             row.extend(rows[k % PERIOD] for k in after[:, j].tolist())
             row.append(j)
         self.rows = rows
+        self.table = (after % PERIOD).astype(np.int32)
         steps = []
         for k in range(OCTAVES):
             low = 1 << (k + FIRST_OCTAVE)
@@ -61,12 +73,20 @@ class Walk:
 
     def run(self, codes: np.ndarray, state: list | None = None, at: int = 0) -> tuple[np.ndarray, list, int]:
         """Steps at which each character is entered, and state and step after the last."""
-        state = self.rows[0] if state is None else state
-        classes = ((codes * np.uint32(2654435761)) >> np.uint32(26)).astype(np.uint8).tobytes()
-        states = list(accumulate(classes, getitem, initial=state))
-        phase = np.fromiter(map(itemgetter(-1), states), np.int64, len(states))
-        entered = at + np.concatenate([[0], np.cumsum((np.diff(phase) - 1) % PERIOD + 1)])
-        return entered[:-1], states[-1], int(entered[-1])
+        phase = self.phases(classes_of(codes), self.rows[0] if state is None else state)
+        entered, end = self.entered(phase, at)
+        return entered, self.rows[int(phase[-1])], end
+
+    def phases(self, classes: np.ndarray, state: list) -> np.ndarray:
+        states = accumulate(classes.tobytes(), getitem, initial=state)
+        return np.fromiter(map(itemgetter(-1), states), np.uint16, len(classes) + 1)
+
+    def entered(self, phase: np.ndarray, at: int = 0) -> tuple[np.ndarray, int]:
+        """Steps at which the characters are entered, and the step after the last; each period's first step is entered."""
+        steps = phase.astype(np.int64)
+        steps[1:] += PERIOD * np.cumsum(phase[1:] == 0)
+        steps += at - int(phase[0])
+        return steps[:-1], int(steps[-1])
 
     def sample(self, codes: np.ndarray, entered: np.ndarray, end: int) -> str:
         """A hexadecimal digit for each sampled step, 0 beyond the end."""
@@ -77,10 +97,89 @@ class Walk:
         digits = self.values[np.arange(len(steps)) % 997, codes[where] % 251]
         return "".join(map(_HEX.__getitem__, digits.tolist()))
 
+
+class Walk(OneWalk):
+    """All walks; itself the first."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.all = [self, *(OneWalk(SEED + k) for k in range(1, WALKS))]
+        # next phase by walk, class and phase; a walk's phases are marked by its place in the table
+        self.offsets = (np.arange(WALKS, dtype=np.int32) * (CLASSES * PERIOD))[:, None]
+        self.tables = np.concatenate([w.table.ravel() + o for w, o in zip(self.all, self.offsets[:, 0], strict=True)]).astype(np.int32)
+
     def fingerprint(self, text: str) -> str:
         codes = self.codes(text)
-        entered, _, end = self.run(codes)
-        return self.sample(codes, entered, end)
+        return joined([w.sample(codes, *w.run(codes)[::2]) for w in self.all])
+
+    def phases_of(self, texts: list[np.ndarray], starts: list[list[int]] | None = None) -> list[list[np.ndarray]]:
+        """Phases of all walks at each character of each text and after its last, from the given ones or 0."""
+        total = sum(map(len, texts))
+        out: list = [None] * len(texts)
+        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+        alone = 0
+        while alone < len(order) and len(texts[order[alone]]) > ALONE * total:
+            i = order[alone]
+            classes = classes_of(texts[i])
+            out[i] = [w.phases(classes, w.rows[starts[i][k] if starts else 0]) for k, w in enumerate(self.all)]
+            alone += 1
+        order = order[alone:]
+        if not order:
+            return out
+        # texts lie one after another in lanes of about equal length; all lanes take a step at once
+        longest = max(1, len(texts[order[0]]))
+        n = min(len(order), max(1, sum(len(texts[i]) for i in order) // longest))
+        lanes = [(0, k) for k in range(n)]
+        heapify(lanes)
+        places = []
+        for i in order:
+            at, lane = lanes[0]
+            places.append((at, lane, i))
+            heapreplace(lanes, (at + len(texts[i]) + 1, lane))
+        length = max(lanes)[0]
+        classes = np.zeros((n, length), np.uint8)
+        begins: dict[int, list[tuple[int, int]]] = {}
+        for at, lane, i in places:
+            classes[lane, at : at + len(texts[i])] = classes_of(texts[i])
+            begins.setdefault(at, []).append((lane, i))
+        shifted = np.ascontiguousarray(classes.T).astype(np.int32) * PERIOD
+        phase = np.zeros((length + 1, WALKS, n), np.int32)
+        index = np.empty((WALKS, n), np.int64)
+        bounds = [*sorted(begins), length]
+        for low, high in zip(bounds, bounds[1:], strict=False):
+            for lane, i in begins[low]:
+                phase[low, :, lane] = self.offsets[:, 0] + (starts[i] if starts else 0)
+            for step, now, then in zip(shifted[low:high], phase[low:high], phase[low + 1 : high + 1], strict=True):
+                np.add(step, now, out=index)
+                self.tables.take(index, out=then, mode="clip")
+        by_lane = np.ascontiguousarray((phase & (PERIOD - 1)).astype(np.uint16).transpose(1, 2, 0))
+        for at, lane, i in places:
+            out[i] = list(by_lane[:, lane, at : at + len(texts[i]) + 1])
+        return out
+
+    def fingerprints(self, texts: list[str | None]) -> list[str]:
+        out = []
+        for codes_of in _groups([self.codes(t or "") for t in texts], len):
+            for codes, phases in zip(codes_of, self.phases_of(codes_of), strict=True):
+                out.append(joined([w.sample(codes, *w.entered(p)) for w, p in zip(self.all, phases, strict=True)]))
+        return out
+
+
+def joined(prints: list[str]) -> str:
+    """The walks' samples as one text, which is empty if they all are."""
+    return BETWEEN.join(prints) if any(prints) else ""
+
+
+def _groups(items: list, size) -> Iterator[list]:
+    group, total = [], 0
+    for x in items:
+        group.append(x)
+        total += size(x)
+        if total >= GROUP:
+            yield group
+            group, total = [], 0
+    if group:
+        yield group
 
 
 @lru_cache(maxsize=1)
@@ -89,19 +188,22 @@ def shared_walk() -> Walk:
     return Walk()
 
 
+#: Weight of each sample, and the sum of those before it.
+_WEIGHTS = np.repeat(2.0 ** np.arange(OCTAVES), SAMPLES) / SAMPLES
+_TOTALS = np.concatenate([[0.0], np.cumsum(_WEIGHTS)])
+
+
 def likeness(a: str, b: str) -> float:
-    """Share of equal samples, octaves weighed by width; samples beyond both ends don't count. Two empty ones are equal."""
-    n = max(len(a), len(b))
-    if n == 0:
-        return 1.0
-    weight = total = 0.0
-    for k in range(0, n, SAMPLES):
-        width = float(1 << (k // SAMPLES))
-        x, y = a[k : k + SAMPLES], b[k : k + SAMPLES]
-        same = sum(map(str.__eq__, x, y))
-        weight += width * same / SAMPLES
-        total += width * max(len(x), len(y)) / SAMPLES
-    return weight / total
+    """The greatest, over the walks, share of equal samples. Two empty fingerprints are equal."""
+    pairs = [(x, y) for x, y in zip(a.split(BETWEEN), b.split(BETWEEN), strict=False) if x or y]
+    return max((_likeness(x.encode(), y.encode()) for x, y in pairs), default=1.0 if a == b else 0.0)
+
+
+def _likeness(a: bytes, b: bytes) -> float:
+    """Octaves are weighed by width; samples beyond both ends don't count."""
+    n = min(len(a), len(b))
+    same = np.frombuffer(a, np.uint8, n) == np.frombuffer(b, np.uint8, n) if n else np.zeros(0, bool)
+    return float(_WEIGHTS[:n] @ same / _TOTALS[max(len(a), len(b))])
 
 
 def _digest_schema(source: DataFrame) -> StructType:
@@ -116,7 +218,7 @@ def fingerprints(df: DataFrame, text_col: str = "text", out_col: str = "fingerpr
 
     def make():
         walk = shared_walk()
-        return lambda texts: [[walk.fingerprint(t or "") for t in texts]]
+        return lambda texts: [walk.fingerprints(texts)]
 
     return map_text(df, text_col, f"`{out_col}` string", make, df.columns)
 
@@ -180,39 +282,55 @@ def edited_digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walk = shared_walk()
-        last = None  # (bucket, doc_id, codes, entered, end, fingerprint) of the row before
-        id_type = None
+        last = None  # the row before the group
+        types = None
+
+        def digests(rows: list[_Row]) -> pa.RecordBatch:
+            for row, phases in zip(rows, walk.phases_of([r.codes for r in rows]), strict=True):
+                row.walked(walk, phases)
+            before = [last, *rows[:-1]]
+            pairs = [(a, b) for a, b in zip(before, rows, strict=True) if a is not None and not a.follower and a.bucket == b.bucket]
+            columns = list(zip(*_compare(walk, pairs), strict=True)) or [()] * len(types)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.names)
+
+        rows, chars = [], 0
         for batch in batches:
-            id_type = batch.schema.field(2).type
-            out = []
-            for bucket, follower, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if follower and (last is None or last[0] != bucket):
-                    continue
-                codes = walk.codes(text)
-                entered, _, end = walk.run(codes)
-                own = walk.sample(codes, entered, end)
-                if last is not None and last[0] == bucket:
-                    out.append(_compare(walk, last, codes, own))
-                last = None if follower else (bucket, doc_id, codes, entered, end, own)
-            if out:
-                columns = list(zip(*out, strict=True))
-                types = [id_type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.names)
+            types = [batch.schema.field(2).type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+            for values in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                rows.append(_Row(*values[:3], walk.codes(values[3])))
+                chars += len(rows[-1].codes)
+                if chars >= GROUP:
+                    yield digests(rows)
+                    last, rows, chars = rows[-1], [], 0
+        if rows:
+            yield digests(rows)
 
     return ordered.mapInArrow(run, schema)
 
 
-def _compare(walk: Walk, row: tuple, following: np.ndarray, next_print: str) -> tuple:
-    _, doc_id, codes, entered, end, own = row
-    n = len(codes)
-    kept = n - n // 2
-    tail = following[: n // 2]
-    edited = np.concatenate([codes[:kept], tail])
-    at = int(entered[kept]) if kept < n else end
-    steps, _, stop = walk.run(tail, walk.rows[at % PERIOD], at)
-    changed = walk.sample(edited, np.concatenate([entered[:kept], steps]), stop)
-    digest = hashlib.sha256(edited.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")).hexdigest()
-    return doc_id, n, digest, own, changed, likeness(own, changed), likeness(own, next_print)
+class _Row:
+    def __init__(self, bucket: int, follower: bool, doc_id, codes: np.ndarray) -> None:
+        self.bucket, self.follower, self.doc_id, self.codes = bucket, follower, doc_id, codes
+
+    def walked(self, walk: Walk, phases: list[np.ndarray]) -> None:
+        """Keep, for each walk, the phases, and the fingerprint."""
+        self.phases = phases
+        self.own = joined([w.sample(self.codes, *w.entered(p)) for w, p in zip(walk.all, phases, strict=True)])
+
+
+def _compare(walk: Walk, pairs: list[tuple[_Row, _Row]]) -> Iterator[tuple]:
+    """Digests of rows and the rows that follow them. An edited text is walked from where its own text ends."""
+    tails = [b.codes[: len(a.codes) // 2] for a, b in pairs]
+    kept = [len(a.codes) - len(a.codes) // 2 for a, _ in pairs]
+    starts = [[int(p[k]) for p in a.phases] for (a, _), k in zip(pairs, kept, strict=True)]
+    for (a, b), tail, k, phases in zip(pairs, tails, kept, walk.phases_of(tails, starts), strict=True):
+        edited = np.concatenate([a.codes[:k], tail])
+        prints = []
+        for w, own, rest in zip(walk.all, a.phases, phases, strict=True):
+            prints.append(w.sample(edited, *w.entered(np.concatenate([own[:k], rest]))))
+        changed = joined(prints)
+        digest = hashlib.sha256(edited.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")).hexdigest()
+        yield a.doc_id, len(a.codes), digest, a.own, changed, likeness(a.own, changed), likeness(a.own, b.own)
 
 
 #: Banding: samples in a band, and octaves that are banded, the highest a text fills and those below.
@@ -245,7 +363,7 @@ def near_documents(df: DataFrame, least: float = 0.8, id_col: str = "doc_id", te
     """doc_id, fingerprint and class_id of every row; a class is named by the smallest id in it.
 
     Rows of equal fingerprints are one class. Fingerprints that agree on a band, a few samples of
-    their highest octaves, meet and are verified: those of at least the given likeness link.
+    a walk's highest octaves, meet and are verified: those of at least the given likeness link.
     Null and empty texts form one class; a class without an id has a null class_id.
     """
     from ._links import components, meetings
@@ -253,14 +371,15 @@ def near_documents(df: DataFrame, least: float = 0.8, id_col: str = "doc_id", te
     prints = fingerprints(df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))).drop("text")
     prints = checkpoint(prints.withColumn("node", F.xxhash64("fingerprint")))
     classes = checkpoint(prints.groupBy("node").agg(F.first("fingerprint").alias("fingerprint"), F.min("doc_id").alias("first_id")))
-    top = F.floor((F.length("fingerprint") - 1) / SAMPLES).cast("int") * SAMPLES
+    walked = classes.select("fingerprint", F.posexplode(F.split("fingerprint", BETWEEN)).alias("walk", "own"))
+    top = F.floor((F.length("own") - 1) / SAMPLES).cast("int") * SAMPLES
     bands = F.transform(
         F.sequence(F.lit(0), F.lit(BANDED * SAMPLES // BAND - 1)),
         lambda k: F.struct((top + SAMPLES - (k + 1) * BAND).alias("at")),
     )
-    keyed = classes.where(F.length("fingerprint") > 0).select("fingerprint", F.inline(bands)).where("at >= 0")
-    band = F.substring("fingerprint", F.col("at") + 1, F.lit(BAND))
-    keyed = keyed.where(F.length(band) == BAND).select("fingerprint", F.xxhash64("at", band).alias("key"))
+    keyed = walked.where(F.length("own") > 0).select("fingerprint", "walk", "own", F.inline(bands)).where("at >= 0")
+    band = F.substring("own", F.col("at") + 1, F.lit(BAND))
+    keyed = keyed.where(F.length(band) == BAND).select("fingerprint", F.xxhash64("walk", "at", band).alias("key"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
