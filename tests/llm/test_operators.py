@@ -386,6 +386,11 @@ def test_packing_plans_are_whole_and_tight():
             assert low <= len(bins) <= 1.23 * max(low, sum(n for s, n in before.items() if 2 * s > capacity)) + 1
 
 
+def test_packing_reduction_goes_on_past_a_piece_it_cannot_fix():
+    counts = {7: 1, 5: 2, 1: 2}
+    assert packing.reduce_by_dominance(counts, 10) == [((5, 5), 1)] and counts == {7: 1, 5: 0, 1: 2}
+
+
 def test_packing_nothing(empty):
     assert packing.pack_documents(empty, path("byte_bpe_50k.json")).count() == 0
 

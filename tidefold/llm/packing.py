@@ -31,7 +31,7 @@ def reduce_by_dominance(counts: dict[int, int], capacity: int = CAPACITY) -> lis
 
     For the longest piece left, a bin is fixed when no other bin that holds it can do better: alone
     if nothing fits beside it; with the longest that fits if it fills the bin, or if no two pieces
-    fit beside the longest piece together. Ends at the first piece for which none holds.
+    fit beside the longest piece together. A length for which none holds is left, and the next one tried.
     """
     fixed = []
     sizes = sorted((s for s, n in counts.items() if n > 0), reverse=True)
@@ -66,7 +66,7 @@ def reduce_by_dominance(counts: dict[int, int], capacity: int = CAPACITY) -> lis
             least = smallest[low]
             second = least if counts[least] > 1 else next((x for x in smallest[low + 1 :] if counts.get(x, 0) > 0), capacity)
             if best != room and least + second <= room:
-                return fixed
+                break
             n = counts[s] // 2 if best == s else min(counts[s], counts[best])
             fixed.append(((s, best), n))
             for x in (s, best):
