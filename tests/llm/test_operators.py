@@ -274,6 +274,14 @@ def test_classifiers_on_awkward_rows(spark, odd, empty):
         assert score(empty, fit(empty, labels.limit(0))).count() == 0
 
 
+def test_labelled_rows_are_bounded_for_repeated_ids(spark):
+    rows = [(1, f"text {k}") for k in range(50)] + [(2, None), (3, "c"), (4, "d")]
+    some = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 5)], "doc_id long, quality int")
+    got = quality.labelled_texts(some, labels, "quality", 1, 1, 4).collect()
+    assert sorted(map(tuple, got)) == [(1, "text 0", 1), (2, None, 1), (3, "c", 1), (4, "d", 1)]
+
+
 # --- quality rules
 
 

@@ -74,13 +74,15 @@ def labelled_texts(
 ) -> DataFrame:
     """At most ``limit`` labelled rows outside the held-out fold as (text, y).
 
-    The chosen labels have a proven bound, so they are broadcast against the documents.
+    The chosen labels have a proven bound, so they are broadcast against the documents. Of the texts of
+    a repeated id, which share its label, the smallest is taken, so the rows have that bound too.
     """
     usable = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~in_fold("doc_id", folds, held_out))
     chosen = usable.groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).withColumnRenamed("doc_id", "label_id")
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select("id", "text", "y")
+    found = texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id"))
+    return found.groupBy("id", "y").agg(F.min("text").alias("text")).select("id", "text", "y")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = MAX_TRAIN) -> QualityModel:
