@@ -274,6 +274,13 @@ def test_classifiers_on_awkward_rows(spark, odd, empty):
         assert score(empty, fit(empty, labels.limit(0))).count() == 0
 
 
+def test_toxicity_patterns_allow_any_white_space():
+    voters = toxicity.make_voters([])
+    first = voters.size - len(voters.patterns)
+    for text in ("u are stupid", "u\nare stupid", "U\tr pathetic", "you\nare a loser"):
+        assert voters.counts(text).get(first) == 1, text
+
+
 def test_labelled_rows_are_bounded_for_repeated_ids(spark):
     rows = [(1, f"text {k}") for k in range(50)] + [(2, None), (3, "c"), (4, "d")]
     some = spark.createDataFrame(rows, "doc_id long, text string")

@@ -102,7 +102,7 @@ def make_voters(mined: list[str]) -> Voters:
             words[name] = number
         else:
             stems.setdefault(len(stem), {}).setdefault(stem, []).append((len(name) - len(stem), number))
-    cues = (("you", "u "), ("shut", "hell", "dead"), ("hate",))
+    cues = (("u",), ("shut", "hell", "dead"), ("hate",))
     patterns = [(c, re.compile(p)) for c, p in zip(cues, PATTERNS, strict=True)]
     return Voters(words, stems, len(names) + len(patterns), patterns)
 
