@@ -568,11 +568,82 @@ def test_html_text_around_the_region():
     assert html_text.main_text(f"<body>{links}<h1><a>Title</a></h1><main>{long}<p><a>source</a></p></main>{links}</body>").split("\n\n") == ["Title", *real, "source"]
 
 
+def plain_article(page):
+    """The only article of a page by regular expressions: blocks between block tags, references decoded."""
+    import html
+
+    inner = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+    blocks = re.split(r"</?(?:p|h1|h2|ul|li|div)\b[^>]*>", inner)
+    words = [html.unescape(re.sub(r"<[^>]*>", "", b.replace("<br>", " "))).split() for b in blocks]
+    return "\n\n".join(" ".join(w) for w in words if w)
+
+
+def test_html_text_against_plain_version(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = counted((r["page_id"], r["url"], plain_article(r["html"])) for r in pages.collect())
+    got = html_text.page_texts(pages).collect()
+    assert counted((r["page_id"], r["url"], r["text"]) for r in got) == want and all(r["n_chars"] == len(r["text"]) for r in got)
+
+
+def test_html_text_of_made_pages():
+    """Pages made of known blocks and furniture give back exactly the blocks."""
+    rng = random.Random(11)
+    word = lambda: rng.choice(["tide", "moon", "a &lt; b", "na&iuml;ve", "sand", "<b>salt</b>", "<i>sea</i>", "shore\n "])
+    prose = lambda n: " ".join(word() for _ in range(n))
+    plain = lambda x: " ".join(re.sub("<[^>]*>", "", x).replace("&lt;", "<").replace("&iuml;", "\u00ef").split())
+    links = lambda: "".join(f"<li><a href=/{k}>{word()}</a>" for k in range(6))
+    noise = ["<script>var a='<p>no</p>'</script>", "<!-- <p>no</p> -->", "<![endif]>", "<p hidden>no</p>", "<div style='display: none'>no</div>"]
+    furniture = [
+        lambda: f"<nav><ul>{links()}</ul></nav>", lambda: "<div class=cookie-notice><p>no " + prose(30) + "</div>", lambda: f"<form><p>{prose(9)}<input></form>",
+        lambda: f"<div class='site-header'><a href=/>{word()}</a></div>", lambda: f"<aside><p>{prose(20)}</p></aside>", lambda: f"<div id=sidebar><p>{prose(12)}</div>",
+        lambda: f"<section class=comments><p>{prose(25)}</p></section>", lambda: f"<div class='ad'>{prose(15)}</div>", lambda: f"<div class=related><h3>{word()}</h3><ul>{links()}</ul></div>",
+    ]
+    for _ in range(200):
+        blocks = [prose(rng.randint(20, 60)) for _ in range(rng.randint(4, 9))]
+        heading = prose(4)
+        body = [f"<div class={rng.choice(['post-header', 'entry-header', 'x'])}><h1>{heading}</h1></div>"]
+        for b in blocks:
+            body += [f"<p>{b}" + rng.choice(["", "</p>"]), *rng.sample(noise, rng.randint(0, 2))]
+            if rng.random() < 0.3:
+                body.append(rng.choice(furniture)())
+        outer = rng.choice(["article", "main", "div class=text", "div class='with-sidebar'"])
+        page = "<head><title>no</title><body>" + "".join(f() for f in rng.sample(furniture, 3)) + f"<{outer}>" + "".join(body) + f"</{outer.split()[0]}>" + rng.choice(furniture)() + "<footer>no</footer>"
+        assert html_text.main_text(page) == "\n\n".join(map(plain, [heading, *blocks])), page
+
+
+def test_html_text_of_broken_markup():
+    assert html_text.main_text("<p>a</p><![foo[x]]><p>b</p>") == "a\n\nb"
+    assert html_text.main_text("<p>a<!x") == "a" and html_text.main_text("<!DOCTYPE html [<!ELEMENT p (a)>]><p>t</p>") == "t"
+    assert html_text.main_text("<p>k <span hidden>no <span>x</span> no</span> yes</p><p hidden>h</p>") == "k yes"
+    assert html_text.main_text("<head><title>t</title><p>body") == "body"
+    long = "<p>words and more words of the real text here</p>" * 12
+    closing = f"<div><h1>Title</h1><div>{long}</div><div><p>Closing paragraph of it all.</p></div></div>"
+    assert html_text.main_text(closing).split("\n\n")[::13] == ["Title", "Closing paragraph of it all."]
+    rng = random.Random(12)
+    bits = ["<", ">", "</", "<!", "<![", "]>", "]]>", "<!--", "-->", "<?", "<p", "<p>", "</p>", "<div>", "</div>", "<a href=", '"', "'", "<td>", "<li>", "</li>", "<script>", "</script>", "<svg>", "<head>", "<body>"]
+    bits += ["&", "&#", "&#x", ";", "&amp;", " ", "\n", "x", "words of text", "\x00", "<span hidden>", "</span>", "<article>", "</article>", "<header>", "<nav class=header>", "/>", "=", "<![CDATA[", "<!DOCTYPE"]
+    for _ in range(4000):
+        html_text.main_text("".join(rng.choices(bits, k=rng.randint(1, 25))))
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>" * 40_000 + "x" + "</div>" * 40_000, "<div><p>t" * 40_000, "<div>" * 40_000 + "</section>" * 40_000 + "x", "<a " * 300_000, '<a href="' * 100_000, "<!--" * 100_000, "<td><th>" * 40_000, "<span hidden>" * 40_000, "<div class=header>" * 20_000 + "x", "<!" * 200_000],
+)
+def test_html_text_takes_time_in_proportion(page):
+    import time
+
+    began = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - began < 8
+
+
 # --- all on nothing
 
 
 def test_everything_on_nothing(empty):
     assert secret_scan.secret_digest(empty).count() == 0
     assert simhash.simhash_digest(empty).count() == 0
+    assert html_text.page_texts(empty.selectExpr("doc_id page_id", "text url", "text html", "score")).count() == 0
     assert quality_rules.judge_quality(empty).count() == 0
     assert bpe.bpe_digest(empty, path("byte_bpe_multi_50k.tiktoken"), PATTERN).count() == 0
