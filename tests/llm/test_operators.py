@@ -234,10 +234,26 @@ def test_cascade_is_exact(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "HASHES", 2)
     universe = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"))
     listed = universe.where(F.xxhash64("key") % 7 == 0)
-    cascade = url_filter.build_cascade(universe, listed)
-    assert len(cascade.levels) > 2
-    wrong = universe.where(cascade.contains(F.col("key")) != (F.xxhash64("key") % 7 == 0))
-    assert wrong.count() == 0
+    names = {r[0] for r in listed.collect()}
+    (whole,) = url_filter.build_cascades(universe, listed)
+    assert len(whole.levels) > 2 and all(whole.lists(f"k{i}") == (f"k{i}" in names) for i in range(3000))
+    shards = list(url_filter.build_cascades(universe, listed, 100))
+    assert len(shards) > 2 and all(c.n_bytes <= 108 for c in shards)
+    assert all(any(c.lists(f"k{i}") for c in shards) == (f"k{i}" in names) for i in range(3000))
+
+
+def test_url_filter_beyond_the_bound_of_a_broadcast(spark, monkeypatch):
+    hosts = [f"{'www.' * (k % 2)}h{k}.example.com" for k in range(300)]
+    rows = [(i, f"http://{h}/p{i}", "extra") for i, h in enumerate([*hosts, *["h1.example.com"] * 200, None, ""])]
+    df = spark.createDataFrame(rows, "page_id int, url string, salt string")
+    listed = [f"h{k}.example.com" for k in range(0, 300, 3)]
+    want = url_filter.filter_urls(df, rules=(), listed=listed).collect()
+    assert sum(r["verdict"] == "block" for r in want) == 100
+    monkeypatch.setattr(url_filter, "MAX_BYTES", 40)
+    got = url_filter.filter_urls(df, rules=(), listed=listed)
+    assert counted(map(tuple, got.select(*df.columns, "host", "path", "rule", "verdict").collect())) == counted(
+        (*(r[c] for c in df.columns), r["host"], r["path"], r["rule"], r["verdict"]) for r in want
+    )
 
 
 # --- classifiers
