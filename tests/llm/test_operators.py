@@ -292,11 +292,70 @@ def test_classifiers_on_awkward_rows(spark, odd, empty):
 
 def test_toxicity_patterns_allow_any_white_space():
     voters = toxicity.make_voters([])
-    first = voters.size - len(voters.patterns)
+    first = voters.n_marks
     for text in ("u are stupid", "u\nare stupid", "U\tr pathetic", "you\nare a loser"):
         assert voters.counts(text).get(first) == 1, text
 
 
+def test_toxicity_finds_most_toxic_texts(spark):
+    con = duckdb.connect()
+    con.register("s", queries()["op5_toxicity"](spark, "/root/testdata/sf0.1").toPandas())
+    found, toxic, wrong, clean = con.sql(
+        "select sum((toxic = 1 and predicted = 1)::int), sum((toxic = 1)::int), sum((toxic = 0 and predicted = 1)::int), sum((toxic = 0)::int) "
+        "from s join '/root/testdata/sf0.1/labels.parquet' using (doc_id) where held_out"
+    ).fetchall()[0]
+    assert found >= 0.9 * toxic > 80 and wrong <= 0.01 * clean, (found, toxic, wrong, clean)
+
+
+def test_label_model_against_single_votes():
+    """Posteriors and rates by the definition, text by text and voter by voter."""
+    rng = np.random.default_rng(3)
+    truth = rng.random(400) < 0.2
+    rate = np.where(truth[:, None], [[0.5, 0.4, 0.4, 0.02]], [[0.02, 0.03, 0.02, 0.6]])
+    votes = (rng.random((400, 4)) < rate).astype(float)
+    votes[:, 2] = np.where(rng.random(400) < 0.9, votes[:, 1], votes[:, 2])  # goes with the one before
+    labels = np.where(rng.random(400) < 0.05, ~truth, truth).astype(int)
+    model = toxicity.fit_label_model(votes, labels, 3)
+    got = model.posterior(votes, labels)
+    for r in range(400):
+        odds = np.log(model.prior / (1 - model.prior))
+        a, b = model.label
+        odds += np.log(a / b) if labels[r] else np.log((1 - a) / (1 - b))
+        for k in range(4):
+            if votes[r, k]:
+                sharing = max(1.0, sum(model.overlap[j, k] for j in range(4) if votes[r, j]))
+                odds += np.log(model.on_toxic[k] / model.on_clean[k]) / sharing
+        assert got[r] == pytest.approx(1 / (1 + np.exp(-odds)))
+    assert model.overlap[1, 2] > 0.3 > model.overlap[0, 1]
+    assert ((got >= 0.5) == truth).mean() > 0.97
+    assert np.allclose(model.on_toxic[:3], (got @ votes[:, :3] + 0.05) / (got.sum() + 0.5), atol=1e-3)
+
+
+def test_ftrl_by_definition():
+    """Sparse updates against the same rule applied coordinate by coordinate."""
+    from tidefold.llm._linear import Ftrl
+
+    rng = np.random.default_rng(4)
+    model, z, n, z0, n0 = Ftrl(12), [0.0] * 12, [0.0] * 12, 0.0, 0.0
+    a, b, l1, l2 = model.alpha, model.beta, model.l1, model.l2
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - np.sign(z[i]) * l1) / ((b + n[i] ** 0.5) / a + l2)
+
+    for _ in range(200):
+        i = rng.choice(12, rng.integers(0, 6), replace=False)
+        x, y, k = rng.random(len(i)), float(rng.integers(0, 2)), rng.random() * 2
+        bias = -z0 / ((b + n0**0.5) / a)
+        g = k * (1 / (1 + np.exp(-(bias + sum(weight(j) * v for j, v in zip(i, x, strict=True))))) - y)
+        for j, w, v in [(j, weight(j), v) for j, v in zip(i, x, strict=True)]:
+            z[j] += g * v - ((n[j] + (g * v) ** 2) ** 0.5 - n[j] ** 0.5) / a * w
+            n[j] += (g * v) ** 2
+        z0 += g - ((n0 + g * g) ** 0.5 - n0**0.5) / a * bias
+        n0 += g * g
+        model.learn(i, x, y, k)
+    assert np.allclose(model.weights(), [weight(i) for i in range(12)]) and model.bias == pytest.approx(-z0 / ((b + n0**0.5) / a))
+
+
 def test_labelled_rows_are_bounded_for_repeated_ids(spark):
     rows = [(1, f"text {k}") for k in range(50)] + [(2, None), (3, "c"), (4, "d")]
     some = spark.createDataFrame(rows, "doc_id long, text string")
