@@ -21,6 +21,25 @@ MAX_BITS = 3
 CHUNK = 1024
 
 
+#: A key that holds more than this part of all rows is hot; so fewer than HOT_KEYS keys are.
+HOT_KEYS = 1000
+
+
+def join_by_key(rows: DataFrame, table: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """Rows joined with a table of one row for each of their keys, no key's rows being dealt to one task.
+
+    ``n`` of the table is the number of rows that have the key. The hot keys, fewer than HOT_KEYS
+    whatever the input, are joined by broadcast, the others by shuffle. Give it checkpointed input, which is read twice.
+    """
+    total, most = table.agg(F.sum(n), F.max(n)).first()
+    least = (total or 0) // HOT_KEYS
+    if (most or 0) <= least or total < HOT_KEYS:
+        return rows.join(table.drop(n), key)
+    hot = F.broadcast(table.where(F.col(n) > least).drop(n))
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.where(F.col(n) <= least).drop(n), key)
+    return rows.join(hot, key).unionByName(cold)
+
+
 def _keys(fp: str) -> list:
     starts = [sum(BLOCKS[:i]) for i in range(len(BLOCKS))]
     out = []
@@ -73,14 +92,12 @@ def meetings(keyed: DataFrame, item: str, size: int) -> DataFrame:
     A key with more than ``size`` items is dealt in chunks, and each pair of chunks is a group: no
     group grows with the data, and none is gathered in one task.
     """
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = keyed.join(sizes, "key").withColumn("g", F.ceil(F.col("n") / size).cast("int"))
+    sizes = checkpoint(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("g", F.ceil(F.col("n") / size).cast("int")))
     chunk = F.pmod(F.xxhash64(item, F.lit(7)), F.col("g")).cast("int")
-    met = met.withColumn("c", chunk).select(item, "key", "c", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("j"))
+    met = join_by_key(keyed, sizes, "key").withColumn("c", chunk).select(item, "key", "c", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("j"))
     groups = met.groupBy("key", F.least("c", "j").alias("lo"), F.greatest("c", "j").alias("hi")).agg(
         F.collect_list(item).alias("members")
     )
-    keyed.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     return groups.where(F.size("members") > 1).select("members")
 
 
@@ -98,17 +115,18 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node that has an edge, root the smallest (signed) node of its component.
 
     Alternating large-star and small-star steps: each is a minimum by node, aggregated before the
-    shuffle, and a join back, so a hub is never gathered in one task. Lineage is cut after each
-    round; the number of rounds grows with the logarithm of a component's size.
+    shuffle, and a join back that broadcasts the minima of hubs, so a hub is never gathered in one task.
+    Lineage is cut after each step; the number of rounds grows with the logarithm of a component's size.
     """
     edges = checkpoint(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b"))
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
+        low = checkpoint(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n")))
+        large = join_by_key(both, low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        large = checkpoint(large.distinct())
+        low = checkpoint(large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")))
+        small = join_by_key(large, low, "a")
         small = small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         edges = checkpoint(small.select("e.a", "e.b").where("a <> b").distinct())
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

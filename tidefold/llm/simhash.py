@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import checkpoint, map_text
-from ._links import components, near_links
+from ._links import components, join_by_key, near_links
 
 WORDS, SEED = 3, 42
 
@@ -52,17 +52,18 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Fingerprints link at three or fewer differing bits; a component's id is the smallest non-null
     id in it (null if it has none). Null and empty texts share fingerprint zero and link like any
-    other. Repeated rows and ids each give a row; other columns are ignored.
+    other. Repeated rows and ids each give a row; other columns are ignored. An empty table gives no
+    rows. Rows of a hot fingerprint get their component by broadcast, so no task holds all of them.
     """
     source = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     docs = checkpoint(fingerprints(source, "text", ["doc_id"]))
-    first = checkpoint(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    first = checkpoint(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")))
     roots = components(near_links(first.select("fp")))
     linked = roots.join(first, roots["node"] == first["fp"]).select("fp", "root", "first_id")
     lowest = linked.groupBy("root").agg(F.min("first_id").alias("lowest"))
     linked = linked.join(lowest, "root").select("fp", "lowest")
-    component = first.join(linked, "fp", "left").select("fp", F.coalesce("lowest", "first_id").alias("component_id"))
-    return docs.join(component, "fp").select("doc_id", "fp", "component_id")
+    component = first.join(linked, "fp", "left").select("fp", F.coalesce("lowest", "first_id").alias("component_id"), "n")
+    return join_by_key(docs, checkpoint(component), "fp").select("doc_id", "fp", "component_id")
 
 
 def simhash_digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
