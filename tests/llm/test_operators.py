@@ -606,7 +606,65 @@ def test_near_documents(spark):
     assert len({r["fingerprint"] for r in got if r["class_id"] == 1}) > 1
 
 
+def test_edit_fingerprints_tell_short_texts_apart():
+    walk = edit_fingerprint.Walk()
+    short = ["", "a", "b", "c", "ab", "ba", "abcd", "abce", "xyz", "abcdefgh", "abcdefgi", "a" * 5, "a" * 6]
+    prints = walk.fingerprints(short)
+    assert len(set(prints)) == len(short)
+    assert max(edit_fingerprint.likeness(a, b) for k, a in enumerate(prints) for b in prints[:k]) < 1
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "decimal(20,0)", "double"])
+def test_edited_texts_follow_ids_of_any_kind(spark, kind):
+    rows = [(str(k * 7 % 101), f"text {k} " * (k % 5)) for k in range(101)] + [(None, "no id"), ("13", "again")]
+    df = spark.createDataFrame(rows, "doc_id string, text string").selectExpr(f"cast(doc_id as {kind}) doc_id", "text")
+    got = edit_fingerprint.edited_digest(df).collect()
+    key = (lambda i: i) if kind == "string" else (lambda i: float(i) if i is not None else None)
+    order = sorted(((key(i), t) for i, t in rows), key=lambda r: (r[0] is not None, r[0], r[1]))
+    want = []
+    for (i, t), (_, following) in zip(order, [*order[1:], order[0]], strict=True):
+        h = len(t) // 2
+        want.append((i, hashlib.sha256((t[: len(t) - h] + following[:h]).encode()).hexdigest()))
+    assert counted((key(None if r["doc_id"] is None else str(r["doc_id"])), r["edited_sha256"]) for r in got) == counted(want)
+
+
+def test_bands_find_near_fingerprints_and_few_others():
+    rng = random.Random(21)
+    texts = [r[0] for r in duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet' where length(text) between 40 and 6000 order by doc_id limit 260").fetchall()]
+    walk = edit_fingerprint.Walk()
+    own = walk.fingerprints(texts)
+    near = []
+    for t, f in zip(texts, own, strict=True):
+        for edits in (1, 3, 10):
+            x = t
+            for _ in range(edits):
+                at = rng.randrange(len(x))
+                x = x[:at] + rng.choice(["", "q", "z "]) + x[at + rng.randrange(2) :]
+            near += [(f, g) for g in walk.fingerprints([x]) if f != g and edit_fingerprint.likeness(f, g) >= 0.8]
+    met = sum(not edit_fingerprint.band_keys(a).isdisjoint(edit_fingerprint.band_keys(b)) for a, b in near)
+    keys = [edit_fingerprint.band_keys(f) for f in own]
+    far = [(i, j) for i in range(len(own)) for j in range(i) if edit_fingerprint.likeness(own[i], own[j]) < 0.5]
+    others = sum(not keys[i].isdisjoint(keys[j]) for i, j in far)
+    print("recall", met, len(near), "others", others, len(far))
+    assert len(near) > 500 and met >= 0.98 * len(near) and others <= 0.002 * len(far), (met, len(near), others, len(far))
+
+
+def test_near_documents_against_all_pairs(spark):
+    rng = random.Random(22)
+    texts = [r[0] for r in duckdb.sql("select text from '/root/testdata/sf0.001/documents.parquet' where length(text) between 100 and 2500 order by doc_id limit 60").fetchall()]
+    texts += [t[: len(t) // 3] + rng.choice("qz") + t[len(t) // 3 :] for t in texts[:30]] + texts[:10] + ["", "a", "b"]
+    prints = edit_fingerprint.Walk().fingerprints(texts)
+    roots = brute_components(prints, lambda a, b: a == b or edit_fingerprint.likeness(a, b) >= 0.8)
+    low = {}
+    for i, r in enumerate(roots):
+        low.setdefault(r, i)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: r["class_id"] for r in edit_fingerprint.near_documents(df).collect()}
+    assert got == {i: low[r] for i, r in enumerate(roots)}
+
+
 def test_edit_fingerprints_nothing(empty):
+    assert edit_fingerprint.near_documents(empty).count() == 0
     assert edit_fingerprint.edited_digest(empty).count() == 0
 
 

@@ -5,25 +5,35 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: Rows per Arrow batch: texts can be megabytes long, so batches stay short.
-ARROW_ROWS = 500
+#: Rows and bytes of text that a worker handles at once. Spark itself bounds the bytes of an Arrow batch.
+PART_ROWS, PART_BYTES = 500, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage into the shared checkpoint folder; a private folder is used only when none is named."""
-    spark = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared checkpoint folder; only a local session that names none gets one of its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidefold-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir isn't set: the executors need a folder that all of them see")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidefold-"))
+    return context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage into the shared checkpoint folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -32,6 +42,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def parts(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of PART_ROWS rows and PART_BYTES bytes of its text column at most, or of one row."""
+    sizes = np.nan_to_num(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False).astype(float))
+    ends = np.concatenate([[0.0], np.cumsum(sizes)])
+    at = 0
+    while at < batch.num_rows:
+        full = int(np.searchsorted(ends, ends[at] + PART_BYTES, "right")) - 1
+        end = min(max(full, at + 1), at + PART_ROWS, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def map_text(
     df: DataFrame,
     text_col: str,
@@ -45,7 +67,6 @@ def map_text(
     (None for null) to one list for each field of ``fields``. ``keep`` names the input columns
     that are passed on; one that clashes with a new field is replaced by it.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     new = StructType.fromDDL(fields)
     keep = [c for c in dict.fromkeys(keep) if c not in new.names]
     text_name = "text__"
@@ -57,9 +78,7 @@ def map_text(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (p for b in batches for p in parts(b, len(keep))):
             values = work(batch.column(len(keep)).to_pylist())
             columns = [batch.column(i) for i in range(len(keep))]
             columns += [pa.array(v, type=t) for v, t in zip(values, arrow_types, strict=True)]

@@ -20,17 +20,20 @@ from operator import getitem, itemgetter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, IntegerType, NumericType, StructField, StructType
 
-from ._common import ARROW_ROWS, checkpoint
+from ._common import checkpoint, let, map_text
+from ._links import components, join_by_key, meetings
 
 SEED = 20
 #: The random bits repeat after PERIOD steps; characters fall in CLASSES classes by hash.
 PERIOD, CLASSES = 4096, 64
-#: Octaves of steps (from 2**k), and samples in each. Longer texts are sampled up to the last octave's end.
-FIRST_OCTAVE, OCTAVES, SAMPLES = 4, 24, 16
+#: Octaves of steps, and samples in each. The first octave is the first SAMPLES steps, all of them; each
+#: later one is as wide as all before it. The last ends at 2**31 steps, about a thousand million characters.
+OCTAVES, SAMPLES = 28, 16
 #: Independent walks of a fingerprint, and what stands between them in it.
 WALKS, BETWEEN = 4, "-"
 #: Texts are walked side by side, in groups of so many characters; ones longer than this share of a group go alone.
@@ -42,6 +45,11 @@ def classes_of(codes: np.ndarray) -> np.ndarray:
     return ((codes * np.uint32(2654435761)) >> np.uint32(26)).astype(np.uint8)
 
 
+def octave(k: int) -> tuple[int, int]:
+    """First step and width of an octave."""
+    return (SAMPLES << (k - 1), SAMPLES << (k - 1)) if k else (0, SAMPLES)
+
+
 class OneWalk:
     """A shared walk, as an automaton whose state is a row of next states by class; its last entry is the step."""
 
@@ -63,8 +71,8 @@ class OneWalk:
         self.table = (after % PERIOD).astype(np.int32)
         steps = []
         for k in range(OCTAVES):
-            low = 1 << (k + FIRST_OCTAVE)
-            steps.append(np.sort(rng.integers(low if k else 0, 2 * low, SAMPLES)))
+            low, width = octave(k)
+            steps.append(low + np.sort(rng.choice(width, SAMPLES, replace=False) if k < 8 else rng.integers(0, width, SAMPLES)))
         self.steps = np.concatenate(steps)
         self.values = rng.integers(1, 16, (997, 251), np.int64)
 
@@ -189,14 +197,20 @@ def shared_walk() -> Walk:
 
 
 #: Weight of each sample, and the sum of those before it.
-_WEIGHTS = np.repeat(2.0 ** np.arange(OCTAVES), SAMPLES) / SAMPLES
+_WEIGHTS = np.repeat([float(octave(k)[1]) for k in range(OCTAVES)], SAMPLES) / SAMPLES
 _TOTALS = np.concatenate([[0.0], np.cumsum(_WEIGHTS)])
 
 
 def likeness(a: str, b: str) -> float:
-    """The greatest, over the walks, share of equal samples. Two empty fingerprints are equal."""
-    pairs = [(x, y) for x, y in zip(a.split(BETWEEN), b.split(BETWEEN), strict=False) if x or y]
-    return max((_likeness(x.encode(), y.encode()) for x, y in pairs), default=1.0 if a == b else 0.0)
+    """The greatest, over the walks, share of equal samples. Two empty fingerprints are equal.
+
+    Where a walk has all samples equal but another hasn't, it is the mean, so only equal fingerprints are wholly alike.
+    """
+    if a == b:
+        return 1.0
+    shares = [_likeness(x.encode(), y.encode()) for x, y in zip(a.split(BETWEEN), b.split(BETWEEN), strict=False) if x or y]
+    best = max(shares, default=0.0)
+    return best if best < 1 else sum(shares) / len(shares)
 
 
 def _likeness(a: bytes, b: bytes) -> float:
@@ -214,7 +228,6 @@ def _digest_schema(source: DataFrame) -> StructType:
 
 def fingerprints(df: DataFrame, text_col: str = "text", out_col: str = "fingerprint") -> DataFrame:
     """Append each whole text's fingerprint; null and empty texts have the empty one. Rows stay as they are."""
-    from ._common import map_text
 
     def make():
         walk = shared_walk()
@@ -223,58 +236,77 @@ def fingerprints(df: DataFrame, text_col: str = "text", out_col: str = "fingerpr
     return map_text(df, text_col, f"`{out_col}` string", make, df.columns)
 
 
+def _cuts(ids: DataFrame, n: int) -> list:
+    """At most n - 1 ids that part the others into about equal ranges, ascending."""
+    if isinstance(ids.schema[0].dataType, NumericType):
+        return sorted(set(ids.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n)).first()[0] or []))
+    ranges = ids.where("doc_id is not null").repartitionByRange(n, "doc_id").groupBy(F.spark_partition_id().alias("p"))
+    return sorted(r["low"] for r in ranges.agg(F.min("doc_id").alias("low")).collect())[1:]
+
+
+def _array(values: list, kind: DataType) -> Column:
+    """A constant array; folded into one literal, however long it is."""
+    return F.array(*[F.lit(v).cast(kind) for v in values]) if values else F.array().cast(ArrayType(kind))
+
+
+def _bucket(value: Column, cuts: Column, n: int) -> Column:
+    """Number of cuts below or at a value, by binary search in a constant array; 0 for null."""
+
+    def step(span: Column, _: Column) -> Column:
+        mid = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        above = F.coalesce(value >= F.get(cuts, mid), F.lit(False))
+        halved = F.struct(F.when(above, mid + 1).otherwise(span["low"]).alias("low"), F.when(above, span["high"]).otherwise(mid).alias("high"))
+        return F.when(span["low"] < span["high"], halved).otherwise(span)
+
+    whole = F.struct(F.lit(0).alias("low"), F.lit(n).alias("high"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(n.bit_length())), whole, step, lambda span: span["low"])
+
+
 def in_id_order(docs: DataFrame, n: int) -> DataFrame:
     """Rows (doc_id, text) dealt into ``n`` ranges of ids, sorted within, each range followed by the next one's first row.
 
-    ``follower`` marks those rows; the last range is followed by the first row of all. Only the
-    bounds of the ranges, as many as partitions, reach the driver.
+    Ids are numbers or texts. ``follower`` marks those rows; the last range is followed by the first row
+    of all. Only the bounds of the ranges, as many as partitions, reach the driver.
     """
     ids = docs.select("doc_id")
-    cuts = ids.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0] or []
-    cuts = sorted(set(cuts))
-    bucket = F.lit(0)
-    if cuts:
-        bucket = F.coalesce(_bucket(F.col("doc_id"), cuts), F.lit(0))
-    firsts = {r["b"]: r["i"] for r in ids.groupBy(bucket.alias("b")).agg(F.min("doc_id").alias("i"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).collect()}
-    nulls = ids.where("doc_id is null").limit(1).count() > 0
+    kind = ids.schema[0].dataType
+    cuts = _cuts(ids, max(n, 2))
+    value = F.col("doc_id")
+    bucket = _bucket(value, _array(cuts, kind), len(cuts))
+    firsts = {r["b"]: r for r in ids.groupBy(bucket.alias("b")).agg(F.min("doc_id").alias("i"), F.count_if(value.isNull()).alias("nulls")).collect()}
     used = sorted(firsts)
-    before = {b: used[i - 1] for i, b in enumerate(used)}
     if not used:
         return docs.select(F.lit(0).alias("bucket"), F.lit(False).alias("follower"), "doc_id", "text")
-    heads = {firsts[b]: before[b] for b in used if firsts[b] is not None and not (nulls and b == used[0])}
-    keys = sorted(heads)
-    target = F.lit(None).cast("int")
-    if keys:
-        place = F.array_position(F.array(*[F.lit(k) for k in keys]), F.col("doc_id"))
-        target = F.get(F.array(*[F.lit(heads[k]) for k in keys]), (F.nullif(place, F.lit(0)) - 1).cast("int"))
-    if nulls:
-        target = F.when(F.col("doc_id").isNull(), F.lit(before[used[0]])).otherwise(target)
-    own = F.struct(bucket.cast("int").alias("bucket"), F.lit(False).alias("follower"))
-    next_one = F.struct(target.cast("int").alias("bucket"), F.lit(True).alias("follower"))
-    both = docs.select("doc_id", "text", F.inline(F.filter(F.array(own, next_one), lambda x: x["bucket"].isNotNull())))
+    # for each range: its first id, and the range before it, to which its first row goes too
+    nulls = firsts[used[0]]["nulls"] > 0
+    first = [firsts[k]["i"] if k in firsts and not (nulls and k == used[0]) else None for k in range(len(cuts) + 1)]
+    before = [used[used.index(k) - 1] if k in firsts else None for k in range(len(cuts) + 1)]
+    own = let(
+        bucket,
+        lambda b: F.struct(
+            b.alias("bucket"),
+            F.when(F.get(_array(first, kind), b) == value, F.get(_array(before, IntegerType()), b))
+            .when(value.isNull(), F.lit(before[used[0]]))
+            .alias("target"),
+        ),
+    )
+    places = F.array(
+        F.struct(F.col("own.bucket").alias("bucket"), F.lit(False).alias("follower")),
+        F.struct(F.col("own.target").alias("bucket"), F.lit(True).alias("follower")),
+    )
+    both = docs.withColumn("own", own).select("doc_id", "text", F.inline(F.filter(places, lambda x: x["bucket"].isNotNull())))
     dealt = both.repartitionById(max(n, 1), F.col("bucket"))
     return dealt.sortWithinPartitions("bucket", "follower", "doc_id", "text").select("bucket", "follower", "doc_id", "text")
 
 
-def _bucket(value: Column, cuts: list) -> Column:
-    """Number of cuts below or at a value, by binary search in an expression of logarithmic depth."""
-    if len(cuts) <= 1:
-        return (value >= F.lit(cuts[0])).cast("int") if cuts else F.lit(0)
-    mid = len(cuts) // 2
-    left, right = cuts[:mid], cuts[mid + 1 :]
-    low = _bucket(value, left) if left else F.lit(0)
-    high = (_bucket(value, right) if right else F.lit(0)) + F.lit(mid + 1)
-    return F.when(value < F.lit(cuts[mid]), low).otherwise(high)
-
-
 def edited_digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of each text and of its edited text: its second half replaced by the next document's beginning.
 
     Documents follow each other by ascending id, null first, equal ids by text; the first follows
-    the last. A null text is empty. Every row gives a row; other columns are ignored.
+    the last. Ids are numbers, or texts in the order of their bytes. A null text is empty. Every row
+    gives a row, an empty table none; other columns are ignored.
     """
     spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = in_id_order(docs, n)
@@ -333,15 +365,41 @@ def _compare(walk: Walk, pairs: list[tuple[_Row, _Row]]) -> Iterator[tuple]:
         yield a.doc_id, len(a.codes), digest, a.own, changed, likeness(a.own, changed), likeness(a.own, b.own)
 
 
-#: Banding: samples in a band, and octaves that are banded, the highest a text fills and those below.
-BAND, BANDED = 2, 3
+#: Banding: samples in a band, bands of an octave, and octaves that are banded: the last a walk reaches and those before it.
+BAND, BANDS, BANDED = 8, 12, 3
+#: Samples in a band of texts that end in the first octave.
+SHORT_BAND = 3
 #: Fingerprints of a chunk of a common band.
 BAND_CHUNK = 128
 
 
-def spanning_pairs(prints: list[str], least: float) -> list[tuple[str, str]]:
-    """A spanning forest of the graph that links fingerprints of at least this likeness."""
-    root = list(range(len(prints)))
+@lru_cache(maxsize=1)
+def _places() -> list[list[int]]:
+    """Samples of an octave that make its bands: its halves, for edits that lie together, then random ones."""
+    rng = np.random.default_rng(SEED)
+    halves = [list(range(BAND)), list(range(SAMPLES - BAND, SAMPLES))]
+    return halves + [sorted(rng.choice(SAMPLES, BAND, replace=False).tolist()) for _ in range(BANDS - len(halves))]
+
+
+def band_keys(fingerprint: str) -> set[int]:
+    """Keys of a fingerprint's bands; texts whose fingerprints share one are compared."""
+    keys = set()
+    for walk, own in enumerate(fingerprint.split(BETWEEN)):
+        last = (len(own) - 1) // SAMPLES if own else -1
+        for k in range(max(0, last - BANDED + 1), last + 1):
+            part = own[k * SAMPLES : (k + 1) * SAMPLES]
+            bands = [p for p in _places() if p[-1] < len(part)]
+            if not last:
+                bands = [list(range(i, i + SHORT_BAND)) for i in range(len(part) - SHORT_BAND + 1)]
+            for n, places in enumerate(bands):
+                digits = "".join([part[i] for i in places])
+                keys.add(xxhash.xxh64_intdigest(f"{walk} {k} {places[0] if not last else n} {len(places)} {digits}") - (1 << 63))
+    return keys
+
+
+def spanning_pairs(items: list[tuple[int, str]], least: float) -> list[tuple[int, int]]:
+    """A spanning forest of the graph that links (node, fingerprint) of at least this likeness."""
+    root = list(range(len(items)))
     edges = []
 
     def find(i: int) -> int:
@@ -350,46 +408,47 @@ def spanning_pairs(prints: list[str], least: float) -> list[tuple[str, str]]:
             i = root[i]
         return i
 
-    for i, own in enumerate(prints):
+    for i, (node, own) in enumerate(items):
         for j in range(i):
             a, b = find(i), find(j)
-            if a != b and likeness(own, prints[j]) >= least:
+            if a != b and likeness(own, items[j][1]) >= least:
                 root[a] = b
-                edges.append((own, prints[j]))
+                edges.append((node, items[j][0]))
     return edges
 
 
 def near_documents(df: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint and class_id of every row; a class is named by the smallest id in it.
 
-    Rows of equal fingerprints are one class. Fingerprints that agree on a band, a few samples of
-    a walk's highest octaves, meet and are verified: those of at least the given likeness link.
-    Null and empty texts form one class; a class without an id has a null class_id.
+    Rows of equal fingerprints are one class. Fingerprints that agree on a band, some samples of an
+    octave of a walk, meet and are verified: those of at least the given likeness link. Null and empty
+    texts form one class; a class without an id has a null class_id. An empty table gives no rows.
+    The README has the recall of the bands.
     """
-    from ._links import components, meetings
-
     prints = fingerprints(df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))).drop("text")
-    prints = checkpoint(prints.withColumn("node", F.xxhash64("fingerprint")))
-    classes = checkpoint(prints.groupBy("node").agg(F.first("fingerprint").alias("fingerprint"), F.min("doc_id").alias("first_id")))
-    walked = classes.select("fingerprint", F.posexplode(F.split("fingerprint", BETWEEN)).alias("walk", "own"))
-    top = F.floor((F.length("own") - 1) / SAMPLES).cast("int") * SAMPLES
-    bands = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDED * SAMPLES // BAND - 1)),
-        lambda k: F.struct((top + SAMPLES - (k + 1) * BAND).alias("at")),
-    )
-    keyed = walked.where(F.length("own") > 0).select("fingerprint", "walk", "own", F.inline(bands)).where("at >= 0")
-    band = F.substring("own", F.col("at") + 1, F.lit(BAND))
-    keyed = keyed.where(F.length(band) == BAND).select("fingerprint", F.xxhash64("walk", "at", band).alias("key"))
+    prints = checkpoint(prints)
+    classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    classes = checkpoint(classes.withColumn("node", F.monotonically_increasing_id()))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, own = (batch.column(k).to_pylist() for k in (0, 1))
+            found = [(n, f, sorted(band_keys(f))) for n, f in zip(nodes, own, strict=True)]
+            rows = [(n, f, k) for n, f, keys in found for k in keys]
+            items = pa.array([{"node": n, "fingerprint": f} for n, f, _ in rows], pa.struct([("node", pa.int64()), ("fingerprint", pa.string())]))
+            yield pa.RecordBatch.from_arrays([items, pa.array([k for *_, k in rows], pa.int64())], names=["item", "key"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            edges = [e for group in batch.column(0).to_pylist() for e in spanning_pairs(group, least)]
-            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.string()) for k in (0, 1)], names=["a", "b"])
+            groups = ([(x["node"], x["fingerprint"]) for x in group] for group in batch.column(0).to_pylist())
+            edges = [e for group in groups for e in spanning_pairs(group, least)]
+            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    links = meetings(keyed, "fingerprint", BAND_CHUNK).mapInArrow(verify, "a string, b string")
-    roots = components(links.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b")).distinct())
+    bands = checkpoint(classes.select("node", "fingerprint").mapInArrow(keyed, "item struct<node:bigint,fingerprint:string>, key long"))
+    links = meetings(bands, "item", BAND_CHUNK).mapInArrow(verify, "a long, b long")
+    roots = components(links.distinct())
     linked = classes.join(roots, "node").select("node", "root", "first_id")
     lowest = linked.groupBy("root").agg(F.min("first_id").alias("lowest"))
     named = classes.join(linked.join(lowest, "root").select("node", "lowest"), "node", "left")
-    named = named.select("node", F.coalesce("lowest", "first_id").alias("class_id"))
-    return prints.join(named, "node").select("doc_id", "fingerprint", "class_id")
+    named = checkpoint(named.select("fingerprint", F.coalesce("lowest", "first_id").alias("class_id"), "n"))
+    return join_by_key(prints, named, "fingerprint").select("doc_id", "fingerprint", "class_id")
