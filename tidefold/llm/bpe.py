@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from ._common import map_text
 
-#: Entries of each of the two generations of a worker's cache of stretches between spaces.
-CACHE = 400_000
+#: Entries of each of the two generations of a worker's cache of stretches between spaces, and characters of one that is kept.
+CACHE, LONGEST = 400_000, 64
 #: Pre-tokens that are kept with their ids.
 PIECES = 800_000
+#: Texts on which cutting before single spaces must not change the pre-tokens.
+_CUTS = ("a b", "a  b", "1 2", ". .", "a. b", "a\n b", "\u00e9 \u00fc", "it's 's", "a -b", "x 's't", "$ 5", "\u4e2d \u6587", "A b C", "a 12345 b", "! ? b")
 _BIT = [1 << i for i in range(256)]
 
 
@@ -110,7 +112,7 @@ class ChunkCache:
     A space before a character that isn't white space always starts a pre-token, so a text may be
     cut there if no space stands before other white space. Texts with such a space (doubled, before
     a line end, or last) are encoded whole. ``encode`` maps strings to packed little-endian ids.
-    The cache has two generations of bounded size.
+    The cache has two generations of bounded size, of stretches of bounded length.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = CACHE) -> None:
@@ -134,6 +136,8 @@ class ChunkCache:
                     got[w] = x
             got.update(zip(new, self.encode([" " + w for w in new]), strict=True))
             found = [got[w] if x is None else x for w, x in zip(rest, found, strict=True)]
+            for w in [w for w in new if len(w) > LONGEST]:
+                del got[w]
             if len(self.young) + len(got) > self.limit:
                 self.old, self.young = self.young, got
             else:
@@ -154,15 +158,17 @@ class Encoder:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.cache = ChunkCache(self._encode)
+        self.cuts = all(self.split(t) == [w for k, x in enumerate(t.split(" ")) for w in self.split(" " * (k > 0) + x)] for t in _CUTS if "  " not in t)
 
     def _piece(self, piece: str) -> bytes:
         packed = self.pieces.get(piece)
         if packed is None:
             ids = merge(piece.encode(), self.ranks)
             packed = struct.pack(f"<{len(ids)}I", *ids)
-            if len(self.pieces) >= PIECES:
-                self.pieces.clear()
-            self.pieces[piece] = packed
+            if len(piece) <= LONGEST:
+                if len(self.pieces) >= PIECES:
+                    self.pieces.clear()
+                self.pieces[piece] = packed
         return packed
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -170,7 +176,7 @@ class Encoder:
         return [b"".join(map(piece, split(t))) for t in texts]
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(self.cache.packed(text), "<u4").tolist()
+        return np.frombuffer(self.cache.packed(text) if self.cuts else self._encode([text])[0], "<u4").tolist()
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -183,7 +189,12 @@ def encoder_of(path: str, pattern: str) -> Encoder:
 
 
 def encode_texts(df: DataFrame, path: str, pattern: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """Append the array of ids of each whole text; a null text counts as empty. Other columns pass through."""
+    """Append the array of ids of each whole text; a null text counts as empty. Other columns pass through.
+
+    ``pattern`` splits a text into pre-tokens; texts may be cut before a space only if it is one that
+    always starts a pre-token there, as that of the public tokenizers does, so other patterns are
+    told apart by a check and encode each text in one go.
+    """
 
     def make():
         encoder = encoder_of(path, pattern)
@@ -193,7 +204,7 @@ def encode_texts(df: DataFrame, path: str, pattern: str, text_col: str = "text",
 
 
 def decode_ids(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """Append the bytes that each array of ids stands for; a null array gives empty bytes."""
+    """Append the bytes that each array of ids stands for; a null array gives empty bytes, an unknown id raises."""
     import pyarrow as pa
     from pyspark.sql.types import BinaryType, StructField, StructType
 
