@@ -9,6 +9,8 @@ most ``WINDOW`` code points apart.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,7 @@ WINDOW = 240
 #: kind don't overlap, and the shortest of each kind have 12, 20, 24, 7, 12 and 9 code points.
 REACH = 160
 _BLOCK = 64
+_FAR = (1 << 31) - 1
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -39,29 +42,30 @@ def _none() -> Column:
     return F.from_json(F.lit("[]"), _SPAN)
 
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0), lambda a, x: a + x)
-
+def _before(values: Column, of: Callable[[Column, Column], Column], start: int) -> Column:
+    """What all earlier elements come to, in two levels so that long arrays stay cheap."""
 
-def _before(sizes: Column) -> Column:
-    """Sums of all earlier elements, in two levels so that long arrays stay cheap."""
+    def fold(part: Column, first: Column) -> Column:
+        return F.aggregate(part, first, of)
 
-    def body(s: Column) -> Column:
+    def body(v: Column) -> Column:
         tops = F.aggregate(
-            F.sequence(F.lit(0), F.floor(F.greatest(F.lit(0), F.size(s) - 1) / _BLOCK).cast("int")),
-            F.array(F.lit(0)),
-            lambda acc, b: F.concat(acc, F.array(F.element_at(acc, -1) + _sum(F.slice(s, b * _BLOCK + 1, F.lit(_BLOCK))))),
-        )
-        return let(
-            tops,
-            lambda top: F.transform(
-                s,
-                lambda _, i: F.get(top, F.floor(i / _BLOCK).cast("int"))
-                + _sum(F.slice(s, F.floor(i / _BLOCK).cast("int") * _BLOCK + 1, i % _BLOCK)),
-            ),
+            F.sequence(F.lit(0), F.floor(F.greatest(F.lit(0), F.size(v) - 1) / _BLOCK).cast("int")),
+            F.array(F.lit(start)),
+            lambda acc, b: F.concat(acc, F.array(fold(F.slice(v, b * _BLOCK + 1, F.lit(_BLOCK)), F.element_at(acc, -1)))),
         )
 
-    return let(sizes, body)
+        def at(top: Column, i: Column) -> Column:
+            block = F.floor(i / _BLOCK).cast("int")
+            return fold(F.slice(v, block * _BLOCK + 1, i % _BLOCK), F.get(top, block))
+
+        return let(tops, lambda top: F.transform(v, lambda _, i: at(top, i)))
+
+    return let(values, body)
+
+
+def _sums_before(values: Column) -> Column:
+    return _before(values, lambda a, x: a + x, 0)
 
 
 def _spans(text: Column, pattern: str, kind: int, value_group: int | None = None) -> Column:
@@ -73,7 +77,7 @@ def _spans(text: Column, pattern: str, kind: int, value_group: int | None = None
         sizes = F.transform(m, F.length)
 
         def placed(g: Column, z: Column) -> Column:
-            before = _before(F.transform(z, lambda n, i: n + F.get(g, i)))
+            before = _sums_before(F.transform(z, lambda n, i: n + F.get(g, i)))
             return let(
                 before,
                 lambda at: F.transform(
@@ -97,10 +101,16 @@ def _spans(text: Column, pattern: str, kind: int, value_group: int | None = None
 
 
 def _linked(parts: Column) -> Column:
-    """Base spans, and the weak ones whose complement is near. ``parts`` is sorted and holds scope ends."""
-    scopes = _before(F.transform(parts, lambda p: F.when(p["kind"] == _BOUNDARY, 1).otherwise(0)))
+    """Base spans, and the weak ones whose complement is near. ``parts`` is sorted and holds scope ends.
+
+    A weak part that overlaps a base span, however far back that began, belongs to it and isn't reported.
+    """
+    scopes = _sums_before(F.transform(parts, lambda p: F.when(p["kind"] == _BOUNDARY, 1).otherwise(0)))
+    ends = _before(F.transform(parts, lambda p: F.when(p["kind"] < 3, p["end"]).otherwise(0)), lambda a, x: F.greatest(a, x), 0)
+    starts = F.reverse(F.transform(parts, lambda p: F.when(p["kind"] < 3, p["start"]).otherwise(_FAR)))
+    following = F.reverse(_before(starts, lambda a, x: F.least(a, x), _FAR))
 
-    def decide(scope: Column) -> Column:
+    def decide(scope: Column, covered: Column, ahead: Column) -> Column:
         def keep(x: Column, i: Column) -> Column:
             first = F.greatest(F.lit(0), i - REACH)
             around = F.transform(
@@ -113,20 +123,16 @@ def _linked(parts: Column) -> Column:
             def near(a: Column, *kinds: int) -> Column:
                 return F.coalesce(F.exists(a, lambda p: F.coalesce(p["kind"].isin(*kinds), F.lit(False))), F.lit(False))
 
-            def verdict(a: Column) -> Column:
+            def linked(a: Column) -> Column:
                 secret, ident, endpoint = near(a, 0, 2, 4), near(a, 1, 3), near(a, 5)
-                inside = F.exists(
-                    a, lambda p: F.coalesce((p["kind"] < 3) & (p["start"] < x["end"]) & (x["start"] < p["end"]), F.lit(False))
-                )
-                return ~inside & (
-                    ((x["kind"] == 3) & secret) | ((x["kind"] == 4) & (ident | endpoint)) | ((x["kind"] == 5) & secret & ident)
-                )
+                return ((x["kind"] == 3) & secret) | ((x["kind"] == 4) & (ident | endpoint)) | ((x["kind"] == 5) & secret & ident)
 
-            return (x["kind"] < 3) | ((x["kind"] < _BOUNDARY) & let(around, verdict))
+            inside = (F.get(covered, i) > x["start"]) | (F.get(ahead, i) < x["end"])
+            return (x["kind"] < 3) | ((x["kind"] < _BOUNDARY) & ~inside & let(around, linked))
 
         return F.filter(parts, keep)
 
-    return let(scopes, decide)
+    return let(scopes, lambda scope: let(ends, lambda covered: let(following, lambda ahead: decide(scope, covered, ahead))))
 
 
 def spans_column(text: Column) -> Column:
