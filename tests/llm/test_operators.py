@@ -93,6 +93,43 @@ def test_secret_many_and_links(spark):
     assert clean[2] == "[secret]\n[secret]\n[secret]" and clean[4] == texts[4] and "abcdef" not in clean[0]
 
 
+def linked_spans(text):
+    """Base spans and linked weak spans by the definition."""
+    base = base_spans(text)
+    found = [(s, k, e) for s, k, e in base]
+    for kind, pattern in ((3, secret_scan.IDENT), (4, secret_scan.WEAK), (5, secret_scan.ENDPOINT)):
+        found += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text, re.A)]
+    blanks = [m.start() for m in re.finditer(secret_scan.BLANK, text)]
+    scope = lambda at: sum(b < at for b in blanks)
+    out = set(base)
+    for s, k, e in found:
+        if k < 3 or any(a < e and s < b for a, _, b in base):
+            continue
+        near = {kind for a, kind, _ in found if abs(a - s) <= secret_scan.WINDOW and scope(a) == scope(s)}
+        secret, ident, endpoint = bool(near & {0, 2, 4}), bool(near & {1, 3}), 5 in near
+        if {3: secret, 4: ident or endpoint, 5: secret and ident}[k]:
+            out.add((s, k, e))
+    return sorted(out)
+
+
+def test_secret_links_by_definition(spark):
+    rng = random.Random(31)
+    bits = [
+        "user: alice", "client_id=ab12cd", "login = bob", "key = Zm9vYmFyYmF6", "pwd: hunter2222", "auth=0123456789", "https://db.example.com/x", "s3://bucket/some/path",
+        "password=secret99", "token: abcdefgh", "AKIA" + "A1" * 9, "deadbeef" * 4, "password=" + "x" * 300 + "key=abcdefghij", "https://h.example/?password=abcdefg&q=" + "y" * 300, "\n\n", "\n \t\n", "\n",
+        "plain words", "z" * 120, "\u00e9\U0001F600", " ", "; ",
+    ]
+    texts = ["".join(rng.choice(bits) + rng.choice([" ", "\n", "; "]) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    texts.append("user: alice key = Zm9vYmFyYmF6\n" * 2000)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.secret_digest(df).collect()}
+    kinds = secret_scan.KINDS
+    for i, t in enumerate(texts[:-1]):
+        assert got[i] == ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in linked_spans(t)), t
+    assert got[300].count("ident") == got[300].count("weak") == 2000
+    assert any("endpoint" in x for x in got.values())
+
+
 # --- byte-level BPE
 
 
@@ -529,6 +566,50 @@ def test_packing_reduction_goes_on_past_a_piece_it_cannot_fix():
     assert packing.reduce_by_dominance(counts, 10) == [((5, 5), 1)] and counts == {7: 1, 5: 0, 1: 2}
 
 
+def fewest_bins(sizes, capacity):
+    """Fewest bins, by trying the bins' contents for the largest piece left."""
+    sizes = tuple(sorted(sizes, reverse=True))
+    if not sizes:
+        return 0
+    best = len(sizes)
+    for mask in range(1 << (len(sizes) - 1)):
+        rest, used = [], sizes[0]
+        for k, s in enumerate(sizes[1:]):
+            if mask >> k & 1:
+                used += s
+            else:
+                rest.append(s)
+        if used <= capacity:
+            best = min(best, 1 + fewest_bins.cached(tuple(rest), capacity))
+    return best
+
+
+fewest_bins.cached = __import__("functools").cache(fewest_bins)
+
+
+def test_packing_reduction_never_costs_a_bin():
+    rng = random.Random(14)
+    for _ in range(250):
+        capacity = rng.choice([10, 13, 20])
+        sizes = [rng.randint(1, capacity) for _ in range(rng.randint(1, 8))]
+        counts = dict(collections.Counter(sizes))
+        fixed = packing.reduce_by_dominance(counts, capacity)
+        rest = tuple(sorted((s for s, n in counts.items() for _ in range(n)), reverse=True))
+        assert sum(n for _, n in fixed) + fewest_bins.cached(rest, capacity) == fewest_bins.cached(tuple(sorted(sizes, reverse=True)), capacity), sizes
+
+
+def test_packing_reaches_the_lower_bound_in_many_shares(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARE_PIECES", (3, 5))
+    got = packing.pack_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), path("byte_bpe_50k.json")).collect()
+    bins = collections.defaultdict(list)
+    for r in got:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in bins.values():
+        ends = [0, *(a + b for a, b in sorted(places))]
+        assert [a for a, _ in sorted(places)] == ends[:-1] and ends[-1] <= 2048
+    assert len(bins) == -(-sum(r["length"] for r in got) // 2048)
+
+
 def test_packing_nothing(empty):
     assert packing.pack_documents(empty, path("byte_bpe_50k.json")).count() == 0
 

@@ -21,8 +21,9 @@ from pyspark.sql import Window as W
 from ._common import checkpoint, map_text
 
 CAPACITY = 2048
-#: Pieces of a length are ranked within this many shares, so that a common length isn't one task's work.
-SHARES = 256
+#: Pieces of a length are ranked within shares, so that a common length isn't one task's work. There are
+#: about SHARES in all, of pieces between these bounds each.
+SHARES, SHARE_PIECES = 4096, (256, 65536)
 _PIECE = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
 
 
@@ -220,13 +221,17 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Append sequence_id and offset to pieces (doc_id, piece, start, length, ids_crc32).
 
     All pieces are placed, repeated rows too; an empty input gives no rows. A piece's rank is its
-    place in a share of its length, after all earlier shares; the driver sees one count for each length.
+    place in a share of its length, after all earlier shares; a length has as many shares as its pieces
+    ask for. The driver sees one count for each length.
     """
     spark: SparkSession = found.sparkSession
-    share = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SHARES)).cast("int")
-    found = checkpoint(found.withColumn("share", share))
+    found = checkpoint(found)
+    counts = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    each = min(max(sum(counts.values()) // SHARES, SHARE_PIECES[0]), SHARE_PIECES[1])
+    shares = F.array(*[F.lit(max(1, -(-counts.get(s, 0) // each))) for s in range(capacity + 1)])
+    share = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.get(shares, F.col("length").cast("int"))).cast("int")
+    found = found.withColumn("share", share)
     sizes = checkpoint(found.groupBy("length", "share").agg(F.count(F.lit(1)).alias("n")))
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     earlier = W.partitionBy("length").orderBy("share").rowsBetween(W.unboundedPreceding, -1)
     first = sizes.select("length", "share", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
     runs = spark.createDataFrame(plan(counts, capacity), "length long, rank long, n long, sequence long, offset long")
