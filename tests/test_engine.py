@@ -11,7 +11,7 @@ from tidefold.functions.records import parse_lines
 from tidefold.functions.rules import RuleError, keep_record
 from tidefold.operators import documents
 from tidefold.operators.folds import fold_events, fold_users
-from tidefold.operators.identity import bindings, resolve
+from tidefold.operators.identity import assign, bindings, resolve
 from tidefold.plans.config_store import ConfigWatcher, merge, union_rules
 from tidefold.sources.files import discover, from_files, normal_path, walk_root
 from tidefold.streaming.follow import flush_threshold
@@ -99,8 +99,8 @@ def test_identity_in_two_batches(spark):
         frame = spark.createDataFrame([(i, a, d) for i, (a, d) in enumerate(rows)], "seq long, account_id string, distinct_id string")
         want = sequential_identity(rows)
         assert [r["user_id"] for r in resolve(frame).orderBy("seq").collect()] == want
-        one = resolve(frame.where("seq < 12"))
-        mapping = spark.createDataFrame(bindings(one).collect(), "user_id long, account_id string, distinct_ids array<string>")
+        one = bindings(*assign(frame.where("seq < 12")))
+        mapping = spark.createDataFrame(one.collect(), "user_id long, account_id string, distinct_ids array<string>")
         two = resolve(frame.where("seq >= 12"), mapping)
         assert [r["user_id"] for r in two.orderBy("seq").collect()] == want[12:]
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 import sys
 
 from pyspark.sql import SparkSession
 
 from . import settings
+from .functions.extended_json import encode
 from .plans.engine import Engine
-from .sources.files import from_reader
+from .sources.files import read_lines
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -23,7 +25,8 @@ def main(argv: list[str] | None = None) -> int:
     s = settings.load(args.settings.read() if args.settings else "", root=args.root)
     spark = SparkSession.builder.appName("tidefold").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     spark.sparkContext.setLogLevel(s.log_level)
-    engine = Engine(spark, s.root, s.include, s.exclude) if s.root else None
+    logging.basicConfig(level=s.log_level, format="%(asctime)s %(levelname)s %(name)s %(message)s")
+    engine = Engine(spark, s.root, s.include, s.exclude, mode=s.mode, batch_size=s.batch_size, workers=s.workers or None, buckets=s.buckets) if s.root else None
     if args.function == "serve":
         from .server import serve
 
@@ -33,20 +36,25 @@ def main(argv: list[str] | None = None) -> int:
         parser.error("--root is required")
     if args.function == "follow":
         from .sources.tail import tail
-        from .streaming.follow import follow
+        from .streaming.follow import Reporter, follow
 
-        query = follow(engine, tail(spark, s.patterns), s.checkpoint or f"{s.root}/_stream", {"processingTime": s.interval})
-        query.awaitTermination()
+        reporter = Reporter(s.report_seconds)
+        stream = tail(spark, s.patterns, s.max_bytes_per_file)
+        query = follow(engine, stream, s.checkpoint or f"{s.root}/_stream", {"processingTime": s.interval}, reporter.add, s.wait_for_config)
+        try:
+            query.awaitTermination()
+        finally:
+            reporter.close()
     elif args.function == "upload":
-        print(json.dumps(engine.run(from_reader(spark, sys.stdin)).to_dict()))
+        print(json.dumps(engine.upload(read_lines(sys.stdin)).to_dict()))
     elif args.function == "sql":
-        print(json.dumps(engine.sql(sys.stdin.read()).to_dict(), default=str))
+        print(encode(engine.sql(sys.stdin.read()).to_dict()))
     elif args.function == "configget":
         print(json.dumps(engine.fetch_config()))
     else:
         request = json.load(sys.stdin)
         if args.function == "ejson":
-            print(json.dumps(engine.ejson(request), default=str))
+            print(encode(engine.ejson(request)))
         else:
             print(json.dumps({"version": (engine.publish_config if args.mode == "set" else engine.append_config)(request)}))
     return 0

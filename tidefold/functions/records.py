@@ -100,6 +100,7 @@ def _record(obj: Column, payload: Column) -> Column:
 
     def judged(f: Column) -> Column:
         kind = F.when(f["type"].startswith("user_"), "user").when(f["type"].startswith("track"), "event").otherwise("none")
+        # fixed values: the error texts of the log format
         error = let(
             kind,
             lambda k: F.when(obj.isNull() & (F.trim(F.col("line")) != "null"), "invalid JSON")
@@ -140,7 +141,7 @@ def _flat(payload: Column, f: Column) -> Column:
     return let(inner, joined)
 
 
-def routing_key(record: Column | None = None) -> Column:
+def routing_key() -> Column:
     """Account id, else distinct id: what a shuffle by user deals out by."""
     return F.coalesce(F.nullif(F.col("account_id"), F.lit("")), F.nullif(F.col("distinct_id"), F.lit("")), F.lit(""))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import decimal
 import operator
 import re
 from functools import reduce
@@ -41,18 +43,33 @@ def _comparable(kind: T.DataType, value: Any) -> bool:
     """Whether values of a column's type and a literal are of one type bracket."""
     if isinstance(kind, T.NullType) or value is None:
         return True
-    number = isinstance(value, (int, float)) and not isinstance(value, bool)
     if isinstance(kind, T.NumericType):
-        return number
+        return isinstance(value, (int, float, decimal.Decimal)) and not isinstance(value, bool)
     if isinstance(kind, T.StringType):
         return isinstance(value, str)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return isinstance(value, datetime.date)
+    if isinstance(kind, T.BinaryType):
+        return isinstance(value, bytes)
+    if isinstance(kind, (T.StructType, T.MapType)):
+        return isinstance(value, dict)
     return isinstance(kind, T.BooleanType) == isinstance(value, bool)
 
 
+def _literal(value: Any) -> Column:
+    return F.struct(*[_literal(v).alias(k) for k, v in value.items()]) if isinstance(value, dict) else F.lit(str(value) if isinstance(value, str) else value)
+
+
 _ORDER = {"$gt": operator.gt, "$gte": operator.ge, "$lt": operator.lt, "$lte": operator.le}
 
 
+#: Operators of a field's condition.
+_TESTS = frozenset((*_ORDER, "$eq", "$ne", "$in", "$nin", "$not", "$exists", "$size", "$all", "$elemMatch", "$regex"))
+
+
 def _test(df: DataFrame, path: str, op: str, value: Any) -> Column:
+    if op not in _TESTS:
+        raise DocumentError(f"unknown operator {op}")
     column, kind = _field(df, path), _type(df, path)
     if isinstance(kind, T.ArrayType) and op in ("$eq", "$gt", "$gte", "$lt", "$lte", "$in") and not isinstance(value, list if op != "$in" else dict):
         return F.coalesce(F.exists(column, lambda x: _plain(x, kind.elementType, op, value)), F.lit(False))
@@ -76,6 +93,8 @@ def _test(df: DataFrame, path: str, op: str, value: Any) -> Column:
 
 def _plain(column: Column, kind: T.DataType, op: str, value: Any) -> Column:
     no = F.lit(False)
+    if op not in _TESTS:
+        raise DocumentError(f"unknown operator {op}")
     if op == "$in":
         return reduce(operator.or_, [_plain(column, kind, "$eq", v) for v in value], no)
     if op == "$regex":
@@ -85,9 +104,9 @@ def _plain(column: Column, kind: T.DataType, op: str, value: Any) -> Column:
     elif not _comparable(kind, value):
         return no
     if op == "$eq":
-        return column.isNull() if value is None else column.eqNullSafe(value)
+        return column.isNull() if value is None else column.eqNullSafe(value if isinstance(value, Column) else _literal(value))
     if op in _ORDER:
-        return F.coalesce(_ORDER[op](column, value), no)
+        return F.coalesce(_ORDER[op](column, value if isinstance(value, Column) else _literal(value)), no)
     raise DocumentError(f"unknown operator {op}")
 
 
@@ -98,6 +117,8 @@ def _tests(df: DataFrame, path: str, spec: Any) -> Column:
         if flags and "$regex" in spec:
             spec["$regex"] = f"(?{flags}){spec['$regex']}"
         return reduce(operator.and_, [_test(df, path, op, v) for op, v in spec.items()])
+    if isinstance(spec, dict) and any(k.startswith("$") for k in spec):
+        raise DocumentError(f"operators and fields don't mix: {sorted(spec)}")
     return _test(df, path, "$eq", spec)
 
 
@@ -230,9 +251,15 @@ def _stage(df: DataFrame, name: str, spec: Any, tables: dict[str, DataFrame]) ->
         more = aggregate(tables[other], spec.get("pipeline") if isinstance(spec, dict) else None, tables)
         return df.unionByName(more, allowMissingColumns=True)
     if name == "$lookup":
-        other, local = tables[spec["from"]], spec["localField"]
-        items = other.groupBy(F.col(f"`{spec['foreignField']}`").alias("__k")).agg(F.collect_list(F.struct("*")).alias("__items"))
-        joined = df.join(items, _field(df, local).eqNullSafe(F.col("__k")), "left")
+        # only keys that documents name are gathered; a document holds all of its matches by definition
+        other, local = tables.get(spec["from"]), _field(df, spec["localField"])
+        if other is None:
+            return df.withColumn(spec["as"], F.array())
+        named = df.select(local.alias("__k")).distinct()
+        foreign = _field(other, spec["foreignField"])
+        items = other.withColumn("__k", foreign).join(named.withColumnRenamed("__k", "__n"), F.col("__k").eqNullSafe(F.col("__n")), "left_semi")
+        items = items.groupBy("__k").agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in other.columns])).alias("__items"))
+        joined = df.join(items, local.eqNullSafe(F.col("__k")), "left")
         empty = F.array().cast(items.schema["__items"].dataType)
         return joined.withColumn(spec["as"], F.coalesce("__items", empty)).drop("__k", "__items")
     if name == "$bucket":
@@ -242,8 +269,9 @@ def _stage(df: DataFrame, name: str, spec: Any, tables: dict[str, DataFrame]) ->
         out = spec.get("output") or {"count": {"$sum": 1}}
         return df.groupBy(key.alias("_id")).agg(*[_accumulate(df, v).alias(k) for k, v in out.items()])
     if name == "$facet":
+        # its answer is one document by definition, whose size is that of its branches; each branch is a column of its own
         parts = [aggregate(df, p, tables).agg(F.collect_list(F.struct("*")).alias(k)) for k, p in spec.items()]
-        return reduce(lambda a, b: a.crossJoin(b), parts)  # one row each
+        return df.sparkSession.range(1).select(*[p.scalar().alias(k) for p, k in zip(parts, spec, strict=True)])
     raise DocumentError(f"unknown stage {name}")
 
 
@@ -257,7 +285,7 @@ def apply_update(df: DataFrame, chosen: Column, update: dict, inserting: bool =
             old = _field(out, k)
             each = v["$each"] if isinstance(v, dict) and "$each" in v else [v]
             new = {
-                "$set": lambda v=v: F.lit(v), "$setOnInsert": lambda v=v: F.lit(v), "$unset": lambda: F.lit(None),
+                "$set": lambda v=v: _literal(v), "$setOnInsert": lambda v=v: _literal(v), "$unset": lambda: F.lit(None),
                 "$inc": lambda v=v, old=old: F.coalesce(old, F.lit(0)) + v, "$mul": lambda v=v, old=old: F.coalesce(old, F.lit(0)) * v,
                 "$max": lambda v=v, old=old: F.greatest(old, F.lit(v)), "$min": lambda v=v, old=old: F.least(old, F.lit(v)),
                 "$push": lambda e=each, old=old: F.concat(F.coalesce(old, F.array()), F.array(*map(F.lit, e))),
@@ -265,10 +293,15 @@ def apply_update(df: DataFrame, chosen: Column, update: dict, inserting: bool =
             }.get(op)
             if new is None:
                 raise DocumentError(f"unknown update operator {op}")
-            out = out.withColumn(k, F.when(chosen, new()).otherwise(old))
+            out = out.withColumn(k, F.when(chosen, new()).otherwise(_as(old, out, k, v)))
     return out
 
 
+def _as(old: Column, df: DataFrame, path: str, value: Any) -> Column:
+    """The old value; as text where a text comes to stand beside values of another type."""
+    return old.cast("string") if isinstance(value, str) and not isinstance(_type(df, path), (T.StringType, T.ArrayType)) else old
+
+
 def first_match(df: DataFrame, query: dict | None, key: str = "_id") -> Any:
     """Key of the matching row with the smallest one, or None."""
     row = df.where(compile_filter(df, query)).agg(F.min(key)).first()

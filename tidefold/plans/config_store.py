@@ -7,6 +7,7 @@ from collections.abc import Callable
 from typing import Any
 
 from ..functions.rules import compile_rules
+from .store import Conflict, Store
 
 RESERVED = ("_id", "version")
 SUBTREES = ("filter",)
@@ -63,43 +64,42 @@ class ConfigStore:
     """One JSON document in the store's file system; a version is written once, under its own name."""
 
     def __init__(self, spark, root: str) -> None:
-        self.spark, self.root = spark, f"{root.rstrip('/')}/_config"
+        self.store = Store(spark, root)
 
-    def _fs(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+    def _names(self) -> list[str]:
+        return sorted(n for n in self.store.list("_config") if n.endswith(".json") and not n.startswith("."))
+
+    def version(self) -> int:
+        """Version of the published document, 0 if there is none; only names are read."""
+        names = self._names()
+        return int(names[-1].removesuffix(".json")) if names else 0
 
     def fetch(self) -> dict[str, Any] | None:
-        fs, path = self._fs()
-        names = sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
-        names = [n for n in names if n.endswith(".json")]
-        if not names:
-            return None
-        text = self.spark.read.text(f"{self.root}/{names[-1]}", wholetext=True).first()[0]
-        return json.loads(text)
+        names = self._names()
+        return json.loads(self.store.read_text(f"_config/{names[-1]}")) if names else None
 
     def _write(self, body: dict[str, Any], version: int) -> int:
-        fs, path = self._fs()
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{version:012d}.json")
-        out = fs.create(target, False)  # fails if another writer took this version
-        out.write(bytearray(json.dumps({**body, "version": version}).encode()))
-        out.close()
+        self.store.create_text(f"_config/{version:012d}.json", json.dumps({**body, "version": version}))  # fails if another writer took it
         return version
 
-    def publish(self, doc: dict[str, Any]) -> int:
-        return self._write({**{k: v for k, v in (self.fetch() or {}).items() if k not in RESERVED}, **validate(doc)}, version_of(self.fetch()) + 1)
-
-    def append(self, delta: dict[str, Any], tries: int = 8) -> int:
-        validate(delta)
-        for k in range(tries):
+    def _next(self, make: Callable[[dict[str, Any]], dict[str, Any]], tries: int = 8) -> int:
+        """Write a new version made from the stored one; again if another writer came first."""
+        for _ in range(tries):
             stored = self.fetch() or {}
             try:
-                return self._write(validate(merge(stored, delta)), version_of(stored) + 1)
-            except Exception as e:
-                if isinstance(e, ValueError) or k == tries - 1:
-                    raise
+                return self._write(make(stored), version_of(stored) + 1)
+            except Conflict:
+                continue
         raise ConfigError("the config document changes too fast")
 
+    def publish(self, doc: dict[str, Any]) -> int:
+        body = validate(doc)
+        return self._next(lambda stored: {**{k: v for k, v in stored.items() if k not in RESERVED}, **body})
+
+    def append(self, delta: dict[str, Any]) -> int:
+        validate(delta)
+        return self._next(lambda stored: validate(merge(stored, delta)))
+
 
 class ConfigWatcher:
     """Applies newer versions only; the version advances even if applying fails. ``ready`` after the first success."""

@@ -2,104 +2,193 @@
 
 from __future__ import annotations
 
-import json
+import logging
 import uuid
+from collections.abc import Iterable, Iterator
+from itertools import islice
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.extended_json import ObjectId, decode, encode, typed
+from ..functions.rules import RuleError, compile_rules
 from ..operators import documents
-from .config_store import ConfigStore
-from .document_store import DocumentStore
+from ..operators.documents import DocumentError
+from ..sources.files import from_lines
+from .config_store import ConfigStore, version_of
+from .document_store import KEYS, DocumentStore, frame_of
 from .ingest import UploadResult, ingest
 from .sql_api import SqlApi, SqlResult
-from .store import Store
+from .store import BUCKETS, Store, Transaction
+
+LOG = logging.getLogger(__name__)
+MODES = ("single", "batch", "pipeline")
+
+
+def parse_mode(mode: str) -> str:
+    """An upload mode; batch if none is named."""
+    mode = (mode or "batch").strip().lower()
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}: it must be one of {', '.join(MODES)}")
+    return mode
+
+
+class RuleHolder:
+    """The rules in force; new ones that don't compile leave the last good ones."""
+
+    def __init__(self, include: list[str] = (), exclude: list[str] = ()) -> None:
+        self.rules = ([], [])
+        self.swap(include, exclude)
+
+    def swap(self, include: list[str], exclude: list[str]) -> None:
+        for side, rules in (("include", include), ("exclude", exclude)):
+            compile_rules(list(rules), side, F.col("doc"))
+        self.rules = (list(include), list(exclude))
 
 
 class Engine:
-    def __init__(self, spark: SparkSession, root: str, include: list[str] = (), exclude: list[str] = (), use_config: bool = True) -> None:
-        self.spark, self.store, self.config = spark, Store(spark, root), ConfigStore(spark, root)
+    """Upload lines, change and query documents, publish config. All arguments and results are plain values.
+
+    ``include`` and ``exclude`` are rules of its own, ``use_config`` whether published ones join them,
+    ``mode`` how uploads are cut, ``batch_size`` the lines of a batch (0: all of an upload),
+    ``workers`` the tasks of the pipeline mode, and ``buckets`` those of new tables.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, include: list[str] = (), exclude: list[str] = (), use_config: bool = True,
+        mode: str = "batch", batch_size: int = 0, workers: int | None = None, buckets: int = BUCKETS,
+    ) -> None:
+        self.spark, self.store, self.config = spark, Store(spark, root, buckets), ConfigStore(spark, root)
         self.documents = DocumentStore(self.store)
         self.include, self.exclude, self.use_config = list(include), list(exclude), use_config
+        self.mode, self.batch_size, self.workers = parse_mode(mode), batch_size, workers
+        self.holder, self.config_version = RuleHolder(include, exclude), 0
 
     def rules(self) -> tuple[list[str], list[str]]:
-        published = (self.config.fetch() or {}).get("filter", {}) if self.use_config else {}
-        return [*self.include, *published.get("include", [])], [*self.exclude, *published.get("exclude", [])]
-
-    def _next(self) -> int:
-        """Sequence numbers go on from the largest ``_ts`` seen."""
-        top = 0
-        for name in ("user", "event"):
-            if (df := self.store.read(name)) is not None:
-                top = max(top, df.agg(F.max(F.try_element_at("doc", F.lit("_ts")).try_cast("long"))).first()[0] or 0)
-        return top + 1
-
-    def upload(self, lines: list[str]) -> UploadResult:
-        lines = [x for x in lines if x]
-        if not lines:
-            return UploadResult()
-        first = self._next()
-        df = self.spark.createDataFrame([(x, first + i) for i, x in enumerate(lines)], "line string, seq long")
-        return self.run(df)
-
-    def run(self, lines: DataFrame, ts: str | None = None, batch: str = "") -> UploadResult:
+        """Own rules and the published ones; a published set that doesn't compile leaves the last good one in force."""
+        if self.use_config and (version := self.config.version()) > self.config_version:
+            self.config_version = version
+            try:
+                self.apply_published(self.config.fetch() or {})
+            except RuleError as e:
+                LOG.warning("published rules of version %d aren't used: %s", version, e)
+        return self.holder.rules
+
+    def apply_published(self, doc: dict[str, Any]) -> None:
+        """Put published rules in force beside the engine's own; RuleError if one doesn't compile."""
+        self.config_version = max(self.config_version, version_of(doc))
+        published = doc.get("filter", {})
+        self.holder.swap([*self.include, *published.get("include", [])], [*self.exclude, *published.get("exclude", [])])
+
+    def upload(self, lines: Iterable[str], mode: str | None = None) -> UploadResult:
+        """Fold lines into the store: each alone (single), or in batches; the pipeline mode counts failed writes and goes on."""
+        mode = parse_mode(mode or self.mode)
+        left = (x for x in lines if x)
+        size = 1 if mode == "single" else self.batch_size
+        result = UploadResult()
+        while some := list(islice(left, size) if size else left):
+            try:
+                result += self.run(from_lines(self.spark, some), workers=self.workers if mode == "pipeline" else None)
+            except Exception:
+                if mode == "batch":
+                    raise
+                LOG.exception("a batch of %d lines isn't written", len(some))
+                result += UploadResult(lines=len(some), write_errors=len(some))
+        return result
+
+    def run(self, lines: DataFrame, ts: str | None = None, stream: str = "", batch: int | None = None, workers: int | None = None) -> UploadResult:
+        """Fold a frame of (line, seq from 1 on) into the store; see ``ingest``."""
         include, exclude = self.rules()
-        return ingest(self.store, lines, include, exclude, ts, batch)
+        return ingest(self.store, lines, include, exclude, ts, stream, batch, workers)
 
     def sql(self, statement: str) -> SqlResult:
         return SqlApi(self.documents).execute(statement)
 
+    def sql_bytes(self, statement: bytes) -> bytes:
+        return encode(self.sql(statement.decode()).to_dict()).encode()
+
     def ejson(self, request: dict[str, Any]) -> dict[str, Any]:
-        """One request: action, collection, database, then its operands."""
+        """One request: action, collection, database, then its operands. Values may be marked by type; answers are plain."""
+        kind, answer = self.ask(request)
+        if kind == "documents":
+            return {"documents": list(answer)}
+        return answer
+
+    def ejson_bytes(self, request: bytes) -> bytes:
+        """One request as Extended JSON, its answer likewise."""
+        return encode(self.ejson(decode(request))).encode()
+
+    def ask(self, request: dict[str, Any]) -> tuple[str, Any]:
+        """("documents", an iterator over them) or ("answer", a dict)."""
+        try:
+            request = typed(request)
+        except ValueError as e:
+            raise DocumentError(str(e)) from e
         action, name = request.get("action"), request.get("collection")
         if not action:
-            raise documents.DocumentError("action is required")
+            raise DocumentError("action is required")
+        if action not in ("findOne", "find", "aggregate", "insertOne", "updateOne", "deleteOne"):
+            raise DocumentError(f"unknown action {action}")
         if not name:
-            raise documents.DocumentError("collection is required")
-        df = self.documents.read(name)
-        args = {k: request.get(v) for k, v in (("query", "filter"), ("projection", "projection"), ("sort", "sort"))}
+            raise DocumentError("collection is required")
         if action in ("find", "findOne"):
+            df = self.documents.read(name)
+            args = {k: request.get(v) for k, v in (("query", "filter"), ("projection", "projection"), ("sort", "sort"))}
             limit = 1 if action == "findOne" else request.get("limit") or 0
-            rows = [] if df is None else _plain(documents.find(df, **args, skip=request.get("skip") or 0, limit=limit))
+            found = iter(()) if df is None else plain(documents.find(df, **args, skip=request.get("skip") or 0, limit=limit))
             if action == "find":
-                return {"documents": rows}
-            return {"document": rows[0]} if rows else {}
+                return "documents", found
+            first = next(found, None)
+            return "answer", {} if first is None else {"document": first}
         if action == "aggregate":
+            df = self.documents.read(name)
             tables = {t: self.documents.read(t) for t in self.documents.tables()}
-            return {"documents": [] if df is None else _plain(documents.aggregate(df, request.get("pipeline"), tables))}
-        if action == "insertOne":
-            if not request.get("document"):
-                raise documents.DocumentError("document is required")
-            return {"insertedId": self._insert(name, df, request["document"])}
-        if action == "updateOne":
-            return self._update(name, df, request)
-        if action == "deleteOne":
-            key = None if df is None else documents.first_match(df, request.get("filter"))
-            if key is not None:
-                self.documents.write(name, df.where(~F.col("_id").eqNullSafe(key)))
-            return {"deletedCount": int(key is not None)}
-        raise documents.DocumentError(f"unknown action {action}")
-
-    def _insert(self, name: str, df: DataFrame | None, document: dict) -> str:
-        key = document.get("_id", uuid.uuid4().hex[:24])
-        row = self.spark.read.json(self.spark.sparkContext.parallelize([json.dumps({**document, "_id": key})]))
-        self.documents.write(name, row if df is None else df.unionByName(row, allowMissingColumns=True))
+            return "documents", iter(()) if df is None else plain(documents.aggregate(df, request.get("pipeline"), tables))
+        change = {"insertOne": self._insert_one, "updateOne": self._update_one, "deleteOne": self._delete_one}[action]
+        return "answer", self.store.update(lambda tx: change(tx, name, request))
+
+    def _insert_one(self, tx: Transaction, name: str, request: dict) -> dict:
+        if not request.get("document"):
+            raise DocumentError("document is required")
+        return {"insertedId": self._insert(tx, name, request["document"])}
+
+    def _insert(self, tx: Transaction, name: str, document: dict) -> Any:
+        own = document.get(KEYS[name][1]) if name in KEYS else None
+        key = own if own is not None else document.get("_id", ObjectId(uuid.uuid4().hex[:24]))
+        if name == "event" and own is None:
+            document = {KEYS[name][1]: str(key), **document}
+        try:
+            self.documents.add(name, frame_of(self.spark, [{**document, "_id": key}]), tx)
+        except ValueError as e:
+            raise DocumentError(str(e)) from e
         return key
 
-    def _update(self, name: str, df: DataFrame | None, request: dict) -> dict[str, Any]:
+    def _chosen(self, tx: Transaction, name: str, request: dict) -> tuple[DataFrame | None, Any]:
+        df = self.documents.read(name, tx)
+        if df is not None and "_id" not in df.columns:
+            raise DocumentError(f"{name} has no _id")
+        return df, None if df is None else documents.first_match(df, request.get("filter"))
+
+    def _delete_one(self, tx: Transaction, name: str, request: dict) -> dict:
+        _, key = self._chosen(tx, name, request)
+        if key is not None:
+            self.documents.change(name, [key], None, tx)
+        return {"deletedCount": int(key is not None)}
+
+    def _update_one(self, tx: Transaction, name: str, request: dict) -> dict:
         update = request.get("update")
         if not documents.is_update(update):
-            raise documents.DocumentError("update is required")
-        key = None if df is None else documents.first_match(df, request.get("filter"))
+            raise DocumentError("update is required")
+        df, key = self._chosen(tx, name, request)
         if key is not None:
             chosen = F.col("_id").eqNullSafe(key)
-            new = documents.apply_update(df, chosen, update)
-            old_row, new_row = (x.where(chosen).drop("_id") for x in (df, new))
-            changed = _plain(old_row) != _plain(new_row)
-            if changed:
-                self.documents.write(name, new)
-            return {"matchedCount": 1, "modifiedCount": int(changed)}
+            old = df.where(chosen)
+            new = documents.apply_update(old, F.lit(True), update)
+            before, after = (list(plain(x.drop("_id"))) for x in (old, new))
+            if before != after:
+                self.documents.change(name, [key], new, tx)
+            return {"matchedCount": 1, "modifiedCount": int(before != after)}
         if not request.get("upsert"):
             return {"matchedCount": 0, "modifiedCount": 0}
         document = {k: v for k, v in (request.get("filter") or {}).items() if not k.startswith("$") and not isinstance(v, dict)}
@@ -108,7 +197,12 @@ class Engine:
                 each = v["$each"] if isinstance(v, dict) and "$each" in v else [v]
                 if op != "$unset":
                     document[k] = each if op in ("$push", "$addToSet") else v
-        return {"matchedCount": 0, "modifiedCount": 0, "upsertedId": self._insert(name, df, document)}
+        return {"matchedCount": 0, "modifiedCount": 0, "upsertedId": self._insert(tx, name, document)}
+
+    def watch(self, name: str, since: int = 0) -> tuple[int, DataFrame | None]:
+        """The last commit's number, and the rows of a table that were added and removed since an earlier one."""
+        now = self.store.state().number
+        return now, self.store.changes(name, since)
 
     def publish_config(self, doc: dict) -> int:
         return self.config.publish(doc)
@@ -119,9 +213,21 @@ class Engine:
     def fetch_config(self) -> dict | None:
         return self.config.fetch()
 
+    def publish_config_bytes(self, doc: bytes, append: bool = False) -> int:
+        return (self.append_config if append else self.publish_config)(decode(doc))
+
     def ensure_indexes(self) -> None:
-        """Nothing to do: keys are unique by the folds, and Parquet keeps its own statistics."""
+        """Nothing to do: keys are unique by the folds, tables are dealt by key, and Parquet keeps its own statistics."""
+
+
+def plain(df: DataFrame) -> Iterator[dict]:
+    """Rows as dicts, a partition at a time; null fields are missing ones."""
+    return (_without_nulls(r.asDict(recursive=True)) for r in df.toLocalIterator())
+
+
+def _without_nulls(value: Any) -> Any:
+    if isinstance(value, dict):
+        return {k: _without_nulls(v) for k, v in value.items() if v is not None}
+    return [_without_nulls(v) for v in value] if isinstance(value, list) else value
 
 
-def _plain(df: DataFrame) -> list[dict]:
-    return [json.loads(x) for x in df.toJSON().collect()]

@@ -6,17 +6,25 @@ the device a modulus of event_id.
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..functions.extended_json import decode
 from ..functions.records import dead_letters, parse_lines
 from ..functions.rules import keep_record
 from ..operators import documents
 from ..operators.folds import fold_events, fold_users
-from ..operators.identity import bindings, resolve
+from ..operators.identity import assign, bindings, resolve
+from .engine import Engine
 from .ingest import classify, statistics
+from .sql_api import SqlError
+from .store import Transaction
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +44,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder for a query's own store, in the warehouse, which all executors share; it goes with the process if it is local."""
+    root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tidefold-{uuid.uuid4().hex}"
+    if root.startswith(("file:", "/")):
+        atexit.register(shutil.rmtree, "/" + root.removeprefix("file:").lstrip("/"), ignore_errors=True)
+    return root
+
+
+def _engine(spark: SparkSession, **tables: DataFrame) -> Engine:
+    """An engine over a store that holds the given tables."""
+    engine = Engine(spark, scratch(spark))
+
+    def fill(tx: Transaction) -> None:
+        for name, df in tables.items():
+            tx.replace(name, df)
+
+    if tables:
+        engine.store.update(fill)
+    return engine
+
+
+def _answer(spark: SparkSession, engine: Engine, schema: str, **request) -> DataFrame:
+    """The documents that a request gives."""
+    got = engine.ejson(request)
+    names = [f.name for f in StructType.fromDDL(schema)]
+    documents = got.get("documents", [got["document"]] if "document" in got else [])
+    return spark.createDataFrame([tuple(d.get(n) for n in names) for d in documents], schema)
+
+
 def _lines(spark: SparkSession, sf_dir: str, kind: Column, **fields: Column) -> DataFrame:
     """(line, seq, ts): a line of JSON for each event; null fields are left out."""
     e = table(spark, sf_dir, "events")
@@ -143,7 +180,7 @@ def identity_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT coalesce(acc.user_id, lst.user_id) AS user_id, a AS account_id, coalesce(ds, '') AS distinct_ids FROM acc FULL JOIN lst ON acc.user_id = lst.user_id"""
 )
 def identity_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = bindings(resolve(_records(spark, sf_dir)))
+    found = bindings(*assign(_records(spark, sf_dir)))
     return found.withColumn("distinct_ids", F.array_join("distinct_ids", ","))
 
 
@@ -271,15 +308,26 @@ def upload_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statistics(classify(lines, exclude=['#event_name == "view"']))
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 100000 AND o_orderstatus IN ('O', 'P') ORDER BY o_orderkey DESC LIMIT 100 OFFSET 10")
+_ORDERS = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 100000 AND o_orderstatus IN ('O', 'P') ORDER BY o_orderkey DESC LIMIT 100 OFFSET 10"
+
+
+@query(_ORDERS)
 def ejson_find(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = {"o_totalprice": {"$gt": 100000}, "o_orderstatus": {"$in": ["O", "P"]}}
-    return documents.find(table(spark, sf_dir, "orders"), spec, {"o_orderkey": 1, "o_totalprice": 1, "_id": 0}, {"o_orderkey": -1}, 10, 100)
+    engine = _engine(spark, orders=table(spark, sf_dir, "orders"))
+    spec = {"o_totalprice": {"$gt": {"$numberLong": "100000"}}, "o_orderstatus": {"$in": ["O", "P"]}}
+    return _answer(
+        spark, engine, "o_orderkey long, o_totalprice double", action="find", collection="orders", filter=spec,
+        projection={"o_orderkey": 1, "o_totalprice": 1, "_id": 0}, sort={"o_orderkey": -1}, skip=10, limit=100,
+    )
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING' ORDER BY c_custkey LIMIT 1")
 def ejson_find_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.find(table(spark, sf_dir, "customer"), {"c_mktsegment": "BUILDING"}, {"c_custkey": 1, "c_name": 1}, {"c_custkey": 1}, 0, 1)
+    engine = _engine(spark, customer=table(spark, sf_dir, "customer"))
+    return _answer(
+        spark, engine, "c_custkey long, c_name string", action="findOne", collection="customer", filter={"c_mktsegment": "BUILDING"},
+        projection={"c_custkey": 1, "c_name": 1}, sort={"c_custkey": 1},
+    )
 
 
 @query("SELECT l_returnflag AS _id, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines FROM lineitem GROUP BY l_returnflag")
@@ -295,7 +343,8 @@ def ejson_group_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ejson_match_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     match = {"$or": [{"o_orderpriority": "1-URGENT"}, {"o_totalprice": {"$lte": 5000}}]}
     stages = [{"$match": match}, {"$group": {"_id": "$o_custkey", "n": {"$sum": 1}}}, {"$sort": {"n": -1, "_id": 1}}, {"$limit": 50}]
-    return documents.aggregate(table(spark, sf_dir, "orders"), stages).select("_id", F.col("n").cast("long").alias("n"))
+    engine = _engine(spark, orders=table(spark, sf_dir, "orders"))
+    return _answer(spark, engine, "_id long, n long", action="aggregate", collection="orders", pipeline=stages)
 
 
 @query(
@@ -308,76 +357,215 @@ def ejson_lookup_unwind(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"$unwind": "$nation"},
         {"$group": {"_id": "$nation.n_name", "suppliers": {"$sum": 1}, "low": {"$min": "$s_acctbal"}, "high": {"$max": "$s_acctbal"}}},
     ]
-    out = documents.aggregate(table(spark, sf_dir, "supplier"), stages, {"nation": table(spark, sf_dir, "nation")})
-    return out.select("_id", F.col("suppliers").cast("long").alias("suppliers"), F.round("low", 2).alias("low"), F.round("high", 2).alias("high"))
+    engine = _engine(spark, supplier=table(spark, sf_dir, "supplier"), nation=table(spark, sf_dir, "nation"))
+    out = _answer(spark, engine, "_id string, suppliers long, low double, high double", action="aggregate", collection="supplier", pipeline=stages)
+    return out.select("_id", "suppliers", F.round("low", 2).alias("low"), F.round("high", 2).alias("high"))
+
+
+@query(
+    """SELECT 'all' AS name, count(*) AS n FROM part UNION ALL SELECT 'small', count(*) FROM part WHERE p_size < 10
+  UNION ALL SELECT 'branded', count(*) FROM part WHERE p_brand IS NOT NULL"""
+)
+def ejson_facet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """$facet, $count and $exists."""
+    count = [{"$count": "n"}]
+    facet = {"all": count, "small": [{"$match": {"p_size": {"$lt": 10}}}, *count], "branded": [{"$match": {"p_brand": {"$exists": True}}}, *count]}
+    engine = _engine(spark, part=table(spark, sf_dir, "part"))
+    (got,) = engine.ejson({"action": "aggregate", "collection": "part", "pipeline": [{"$facet": facet}]})["documents"]
+    return spark.createDataFrame([(k, (v or [{"n": 0}])[0]["n"]) for k, v in got.items()], "name string, n long")
 
 
 _PART = "SELECT p_partkey AS _id, p_brand, p_size FROM part"
 
 
-def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("_id"), "p_brand", "p_size")
+def _part(spark: SparkSession, sf_dir: str) -> Engine:
+    return _engine(spark, part=table(spark, sf_dir, "part").select(F.col("p_partkey").alias("_id"), "p_brand", "p_size"))
 
 
 @query(f"SELECT _id, p_brand, CASE WHEN _id = (SELECT min(p_partkey) FROM part WHERE p_size > 40) THEN p_size + 100 ELSE p_size END AS p_size FROM ({_PART})")
 def ejson_update_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _part(spark, sf_dir)
-    key = documents.first_match(df, {"p_size": {"$gt": 40}})
-    return documents.apply_update(df, F.col("_id") == key, {"$inc": {"p_size": 100}})
+    engine = _part(spark, sf_dir)
+    engine.ejson({"action": "updateOne", "collection": "part", "filter": {"p_size": {"$gt": 40}}, "update": {"$inc": {"p_size": 100}}})
+    return engine.documents.read("part")
+
+
+@query(f"SELECT _id, CASE WHEN _id = 7 THEN 'set' ELSE p_brand END AS p_brand, CASE WHEN _id = 7 THEN NULL ELSE p_size END AS p_size, CASE WHEN _id = 7 THEN 'x,y' END AS tags FROM ({_PART})")
+def ejson_update_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """$set, $unset, $push, $addToSet and $max on one document."""
+    engine = _part(spark, sf_dir)
+    ask = lambda update: engine.ejson({"action": "updateOne", "collection": "part", "filter": {"_id": {"$numberLong": "7"}}, "update": update})
+    ask({"$set": {"p_brand": "set", "tags": ["x"]}, "$max": {"p_size": 1000}})
+    ask({"$addToSet": {"tags": {"$each": ["x", "y"]}}, "$unset": {"p_size": ""}})
+    return engine.documents.read("part").select("_id", "p_brand", "p_size", F.array_join("tags", ",").alias("tags"))
 
 
 @query(f"SELECT * FROM ({_PART}) WHERE _id <> (SELECT min(p_partkey) FROM part WHERE p_size > 40)")
 def ejson_delete_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _part(spark, sf_dir)
-    return df.where(F.col("_id") != documents.first_match(df, {"p_size": {"$gt": 40}}))
+    engine = _part(spark, sf_dir)
+    engine.ejson({"action": "deleteOne", "collection": "part", "filter": {"p_size": {"$gt": 40}}})
+    return engine.documents.read("part")
 
 
-@query(f"SELECT * FROM ({_PART}) UNION ALL SELECT 0, 'new', NULL")
+@query(f"SELECT * FROM ({_PART}) UNION ALL SELECT 0, 'new', NULL UNION ALL SELECT -1, 'up', 5")
 def ejson_insert_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    row = spark.createDataFrame([(0, "new")], "_id long, p_brand string")
-    return _part(spark, sf_dir).unionByName(row, allowMissingColumns=True)
+    """An insert, and an update that inserts for want of a match."""
+    engine = _part(spark, sf_dir)
+    engine.ejson({"action": "insertOne", "collection": "part", "document": {"_id": 0, "p_brand": "new"}})
+    engine.ejson({"action": "updateOne", "collection": "part", "filter": {"_id": -1}, "update": {"$set": {"p_brand": "up"}, "$inc": {"p_size": 5}}, "upsert": True})
+    return engine.documents.read("part").select("_id", "p_brand", F.col("p_size").cast("int").alias("p_size"))
 
 
-def _sql(name: str, text: str, *tables: str) -> None:
+@query(
+    """SELECT 'found' AS step, 1 AS n UNION ALL SELECT 'events', (SELECT count(*) FROM events WHERE event_id % 4 = 0 AND event_type = 'view') UNION ALL SELECT 'dated', 1
+  UNION ALL SELECT 'matched', 1 UNION ALL SELECT 'modified', 1 UNION ALL SELECT 'deleted', 1 UNION ALL SELECT 'refused', 1"""
+)
+def ejson_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests as Extended JSON, on users and events that an upload made."""
+    engine = _engine(spark)
+    m = F.col("event_id") % 4
+    engine.run(_lines(spark, sf_dir, F.when(m == 0, "track").otherwise("user_set")).select("line", "seq"))
+    ask = lambda text: decode(engine.ejson_bytes(text.encode()))
+    refused = 0
+    try:
+        ask('{"action":"find","collection":"user","filter":{"#user_id":{"$nonsense":"1"}}}')
+    except documents.DocumentError:
+        refused = 1
+    first = ask('{"action":"findOne","collection":"user","filter":{"#user_id":{"$numberLong":"1"}}}')
+    found = ask('{"action":"aggregate","collection":"event","pipeline":[{"$match":{"#event_name":"view"}},{"$group":{"_id":"$#event_name","n":{"$sum":1}}}]}')
+    ask('{"action":"insertOne","collection":"event","document":{"#event_name":"login","when":{"$date":"2026-01-01T00:00:00Z"}}}')
+    dated = ask('{"action":"find","collection":"event","filter":{"#event_name":"login"}}')["documents"]
+    update = ask('{"action":"updateOne","collection":"user","filter":{"#user_id":{"$numberLong":"1"}},"update":{"$set":{"vip":true}},"upsert":true}')
+    gone = ask('{"action":"deleteOne","collection":"event","filter":{"#event_name":"login"}}')
+    rows = [
+        ("found", int(first["document"]["#user_id"] == 1)), ("events", found["documents"][0]["n"] if found["documents"] else 0), ("dated", len(dated)),
+        ("matched", update["matchedCount"]), ("modified", update["modifiedCount"]), ("deleted", gone["deletedCount"]), ("refused", refused),
+    ]
+    return spark.createDataFrame(rows, "step string, n int")
+
+
+def _select(name: str, text: str, *tables: str) -> None:
+    """A query by the SQL interface over tables of its store."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        for t in tables:
-            table(spark, sf_dir, t).createOrReplaceTempView(t)
-        return spark.sql(text)
+        return _engine(spark, **{t: table(spark, sf_dir, t) for t in tables}).sql(text).rows
 
     run.__name__ = name
     QUERIES[name], SQL[name] = run, text
 
 
-_sql("sql_select_where_order_limit", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_nationkey = 3 ORDER BY c_acctbal DESC, c_custkey LIMIT 20", "customer")
-_sql("sql_group_count", "SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type", "events")
-_sql("sql_distinct", "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders", "orders")
+_select("sql_select_where_order_limit", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_nationkey = 3 ORDER BY c_acctbal DESC, c_custkey LIMIT 20", "customer")
+_select("sql_group_count", "SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type", "events")
+_select("sql_distinct", "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders", "orders")
+
 
+@query("SELECT p_brand, p_size FROM part WHERE p_size > 45")
+def sql_star_hides_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``*`` in a nested query too leaves out ``_id``; names may be back-quoted."""
+    return _part(spark, sf_dir).sql("WITH big AS (SELECT t.* FROM `part` t WHERE `p_size` > 45) SELECT big.* FROM big;").rows
 
-@query("SELECT c_custkey, CASE WHEN c_nationkey = 3 THEN 'MOVED' ELSE c_mktsegment END AS c_mktsegment FROM customer")
+
+@query("SELECT p_partkey AS _id, p_brand FROM part WHERE p_size > 45")
+def sql_names_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _part(spark, sf_dir).sql("SELECT _id, p_brand FROM part WHERE p_size > 45").rows
+
+
+@query("SELECT c_custkey, CASE WHEN c_nationkey = 3 THEN 'go where, now = then' ELSE c_mktsegment END AS c_mktsegment FROM customer")
 def sql_update_const(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hit = F.coalesce(F.expr("c_nationkey = 3"), F.lit(False))
-    return table(spark, sf_dir, "customer").select("c_custkey", F.when(hit, "MOVED").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
+    engine = _engine(spark, customer=table(spark, sf_dir, "customer"))
+    engine.sql("UPDATE customer SET c_mktsegment = 'go where, now = then' WHERE c_nationkey = 3")
+    return engine.sql("SELECT c_custkey, c_mktsegment FROM customer").rows
 
 
 @query("SELECT p_partkey, CASE WHEN p_size < 10 THEN p_size + 1 ELSE p_size END AS p_size FROM part")
 def sql_update_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", F.when(F.expr("p_size < 10"), F.expr("p_size + 1")).otherwise(F.col("p_size")).alias("p_size"))
+    engine = _engine(spark, part=table(spark, sf_dir, "part"))
+    engine.sql("update part set p_size = p_size + 1 where (p_size < 10)")
+    return engine.sql("select p_partkey, cast(p_size as int) as p_size from part").rows
 
 
 @query("SELECT s_suppkey, s_name FROM supplier WHERE NOT coalesce(s_acctbal < 0, FALSE)")
 def sql_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").where("not coalesce(s_acctbal < 0, false)").select("s_suppkey", "s_name")
+    engine = _engine(spark, supplier=table(spark, sf_dir, "supplier"))
+    engine.sql("DELETE FROM supplier WHERE s_acctbal < 0")
+    return engine.sql("SELECT s_suppkey, s_name FROM supplier").rows
 
 
-@query("SELECT n_name AS name, n_nationkey AS id FROM nation UNION ALL SELECT r_name, r_regionkey FROM region")
+@query("SELECT n_name AS name, n_nationkey AS id FROM nation UNION ALL SELECT r_name, r_regionkey FROM region UNION ALL VALUES ('a, (b)', 100), ('c''d', 101)")
 def sql_insert_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INSERT of a query's rows, and of values with marks inside quotes."""
     nation = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("id"))
-    return nation.unionByName(table(spark, sf_dir, "region").select(F.col("r_name").alias("name"), F.col("r_regionkey").alias("id")))
+    engine = _engine(spark, places=nation, region=table(spark, sf_dir, "region"))
+    engine.sql("INSERT INTO places SELECT r_name, r_regionkey FROM region")
+    engine.sql("INSERT INTO places (id, `name`) VALUES (100, 'a, (b)'), (101, 'c\\'d');")
+    return engine.sql("SELECT name, id FROM places").rows
 
 
-@query("SELECT event_type AS event_name, count(*) AS n FROM events GROUP BY event_type")
+@query(
+    """SELECT 'select' AS kind, 0 AS matched, 0 AS modified, 0 AS deleted, '' AS error UNION ALL SELECT 'update', 0, 0, 0, '' UNION ALL SELECT 'delete', 0, 0, 0, ''
+  UNION ALL SELECT 'update', (SELECT count(*) FROM region WHERE r_regionkey > 1), (SELECT count(*) FROM region WHERE r_regionkey = 2), 0, ''
+  UNION ALL SELECT 'error', 0, 0, 0, 'parse SQL: syntax error' UNION ALL SELECT 'error', 0, 0, 0, 'unsupported statement type: create' UNION ALL SELECT 'error', 0, 0, 0, 'no such table: nothing'"""
+)
+def sql_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of results, zero counts and errors."""
+    engine = _engine(spark, region=table(spark, sf_dir, "region"))
+    rows = []
+    for text in (
+        "SELECT * FROM region WHERE r_regionkey < 0", "UPDATE region SET r_name = 'x' WHERE r_regionkey < 0", "DELETE FROM region WHERE r_regionkey < 0",
+        "UPDATE region SET r_regionkey = greatest(r_regionkey, 3) WHERE r_regionkey > 1", "SELEC nothing", "CREATE TABLE t (x INT)", "DELETE FROM nothing",
+    ):
+        try:
+            got = engine.sql(text)
+            rows.append((got.kind, got.matched, got.modified, got.deleted, ""))
+        except SqlError as e:
+            known = next((k for k in ("parse SQL: syntax error",) if str(e).startswith(k)), str(e))
+            rows.append(("error", 0, 0, 0, known))
+    return spark.createDataFrame(rows, "kind string, matched int, modified int, deleted int, error string")
+
+
+@query("SELECT event_type AS event_name, count(*) AS n FROM events WHERE event_id % 8 > 1 GROUP BY event_type")
 def ingest_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parse, route and count by event name: the flagship."""
-    records = parse_lines(_lines(spark, sf_dir, F.lit("track"))).where("error is null")
-    name = F.get_json_object(F.concat(F.lit("["), F.col("doc")["#event_name"], F.lit("]")), "$[0]")
-    return records.groupBy(name.alias("event_name")).agg(F.count(F.lit(1)).alias("n"))
+    """Upload lines into a store (parse, identities, folds, commit) and count its events by name: the flagship."""
+    m = F.col("event_id") % 8
+    engine = _engine(spark)
+    engine.run(_lines(spark, sf_dir, F.when(m == 0, "nonsense").when(m == 1, "user_add").otherwise("track")).select("line", "seq"))
+    return engine.sql("SELECT `#event_name` AS event_name, COUNT(*) AS n FROM event GROUP BY `#event_name`").rows
+
+
+@query(
+    """WITH o AS (SELECT user_id AS u, event_id AS seq, event_id % 3 AS k FROM events),
+  n AS (SELECT u, dense_rank() OVER (ORDER BY min(seq)) AS user_id FROM o GROUP BY u)
+  SELECT n.user_id, 'u' || o.u AS account, 'e' || max(o.seq) AS last_uuid, CASE max(o.seq) % 3 WHEN 1 THEN 'user_add' WHEN 2 THEN 'user_other' ELSE 'user_set' END AS last_type,
+    CAST(sum(CASE WHEN k = 1 AND o.seq > coalesce(r.pos, -1) THEN o.seq % 10 ELSE 0 END) + max(CASE WHEN o.seq = r.pos THEN o.seq % 10 ELSE 0 END) AS BIGINT) AS n
+  FROM o JOIN n USING (u) LEFT JOIN (SELECT u, max(seq) FILTER (k <> 1) AS pos FROM o GROUP BY u) r USING (u) GROUP BY n.user_id, o.u"""
+)
+def ingest_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users after two uploads, with the meta keys of their last operation; unknown user operations set."""
+    m = F.col("event_id") % 3
+    lines = _lines(spark, sf_dir, F.when(m == 0, "user_set").when(m == 1, "user_add").otherwise("user_other")).select("line", "seq")
+    engine = _engine(spark)
+    middle = lines.agg(F.percentile_approx("seq", 0.5)).first()[0]
+    engine.run(lines.where(F.col("seq") <= middle))
+    engine.run(lines.where(F.col("seq") > middle))
+    return engine.sql(
+        "SELECT `#user_id` AS user_id, `#account_id` AS account, `#uuid` AS last_uuid, `#type` AS last_type, CAST(n AS BIGINT) AS n FROM user"
+    ).rows
+
+
+@query(_IDENTITY + """SELECT user_id, count(*) AS n, min('e' || seq) AS first_uuid FROM res WHERE a <> '' OR d <> '' GROUP BY user_id""")
+def ingest_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by user after three uploads, each of which resolves against the ones before."""
+    e = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"))
+    ids = _records(spark, sf_dir).join(e, "seq")
+    text = lambda c: F.when(F.col(c) != "", F.col(c))
+    line = F.to_json(
+        F.struct(
+            F.concat(F.lit("e"), "seq").alias("#uuid"), F.lit("track").alias("#type"), F.lit("t").alias("#time"), F.lit("x").alias("#event_name"),
+            text("account_id").alias("#account_id"), text("distinct_id").alias("#distinct_id"),
+        )
+    )
+    lines = ids.select(line.alias("line"), "seq")
+    engine = _engine(spark)
+    low, high = lines.agg(F.percentile_approx("seq", [0.3, 0.7])).first()[0]
+    for part in (F.col("seq") <= low, (F.col("seq") > low) & (F.col("seq") <= high), F.col("seq") > high):
+        engine.run(lines.where(part))
+    return engine.sql("SELECT `#user_id` AS user_id, COUNT(*) AS n, MIN(`#uuid`) AS first_uuid FROM event GROUP BY `#user_id`").rows

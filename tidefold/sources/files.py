@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import glob
+import logging
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from typing import TextIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.order import running_total
+
+LOG = logging.getLogger(__name__)
 #: A reader stops at a longer line.
 MAX_LINE = 1 << 20
 
@@ -21,34 +25,37 @@ def from_lines(spark: SparkSession, lines: Iterable[str], first: int = 1) -> Dat
 
 
 def from_reader(spark: SparkSession, reader: TextIO) -> DataFrame:
-    """Lines up to the end, or to the first line over MAX_LINE bytes."""
-    lines = []
-    for line in reader:
+    """Lines up to the end, or to the first line over MAX_LINE bytes, which ends the reading with a warning."""
+    return from_lines(spark, read_lines(reader))
+
+
+def read_lines(reader: TextIO) -> Iterator[str]:
+    for n, line in enumerate(reader, 1):
         line = line.rstrip("\r\n")
-        if len(line.encode()) > MAX_LINE:
-            break
-        lines.append(line)
-    return from_lines(spark, lines)
+        if len(line) > MAX_LINE or len(line.encode()) > MAX_LINE:
+            LOG.warning("line %d is longer than %d bytes; reading ends before it", n, MAX_LINE)
+            return
+        yield line
 
 
 def from_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """(line, seq) of text files below a path; the order is by file name, then place in the file.
 
-    The sequence number joins a file's rank with the row's place in it, so it stays the same on a rerun.
+    The sequence number is the row's place in its file after the bytes of all files before, so it stays
+    the same on a rerun.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     lines = reader.text(path).select(
-        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"),
     )
-    files = lines.select("file").distinct()
-    rank = files.join(files.withColumnRenamed("file", "other"), F.col("other") <= F.col("file")).groupBy("file").agg(F.count(F.lit(1)).alias("rank"))
-    start = lines.groupBy("file", "block").agg(F.min("at").alias("start"))
-    keyed = lines.join(start, ["file", "block"]).join(rank, "file")
+    blocks = lines.groupBy("file", "block").agg(F.min("at").alias("start"), F.first("size").alias("size"))
+    files = running_total(blocks.groupBy("file").agg(F.first("size").alias("size")), "file", F.col("size") + 1, "before")
+    keyed = lines.join(blocks.drop("size"), ["file", "block"]).join(files.drop("size"), "file")
     # a block of a file starts at its byte offset, which is more than the number of lines before it
-    return keyed.where("line <> ''").select("line", (F.shiftleft("rank", 42) + F.col("block") + F.col("at") - F.col("start")).alias("seq"))
+    return keyed.where("line <> ''").select("line", (F.col("before") + F.col("block") + F.col("at") - F.col("start") + 1).alias("seq"))
 
 
 def walk_root(pattern: str) -> str:
@@ -64,8 +71,14 @@ def discover(patterns: Iterable[str]) -> list[str]:
 
 
 def normal_path(path: str) -> str:
-    """Forward slashes; a drive letter as ``/c/``."""
+    """Forward slashes; a drive letter, or a drive mounted under /mnt, as ``/c/``."""
     path = path.replace("\\", "/")
-    if m := re.match(r"([A-Za-z]):/(.*)", path):
-        return f"/{m[1].lower()}/{m[2]}"
+    if m := re.match(r"(?:([A-Za-z]):/|/mnt/([A-Za-z])/)(.*)", path):
+        return f"/{(m[1] or m[2]).lower()}/{m[3]}"
     return path
+
+
+def watched_roots(patterns: Iterable[str]) -> list[str]:
+    """The folders below which the patterns can match; a folder inside another one is left out."""
+    roots = sorted({walk_root(normal_path(p)) for p in patterns})
+    return [r for i, r in enumerate(roots) if not any(r.startswith(o.rstrip("/") + "/") for o in roots[:i])]

@@ -78,11 +78,11 @@ class TailReader(DataSourceStreamReader):
         with open(part.path, "rb") as f:
             f.seek(part.start)
             at = part.start
-            for raw in f.read(part.end - part.start).splitlines(keepends=True):
-                line = raw.rstrip(b"\r\n").decode("utf-8", "replace")
+            for raw in f.read(part.end - part.start).split(b"\n"):  # a lone carriage return ends no line
+                line = raw.removesuffix(b"\r").decode("utf-8", "replace")
                 if line:
                     yield line, part.path, at
-                at += len(raw)
+                at += len(raw) + 1
 
     def commit(self, end: dict) -> None:
         pass
