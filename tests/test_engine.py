@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidefold import settings
 from tidefold.functions.records import parse_lines
 from tidefold.functions.rules import RuleError, keep_record
-from tidefold.operators import documents
+from tidefold.operators import documents, folds
 from tidefold.operators.folds import fold_events, fold_users
 from tidefold.operators.identity import assign, bindings, resolve
 from tidefold.plans.config_store import ConfigWatcher, merge, union_rules
@@ -142,6 +142,52 @@ def test_user_fold_in_two_batches(spark):
     assert read(fold_users(frame.where("seq >= 5"), stored)) == {u: d for u, d in want.items() if d is not None}
 
 
+def sequential_events(ops):
+    doc = None
+    for _, kind, value, ts in ops:
+        if kind == "track_update" and doc is not None and doc["_ts"] <= ts or kind == "track_update" and doc is None:
+            doc = {**(doc or {}), **value, "_ts": ts}
+        elif kind == "track_overwrite" and (doc is None or doc["_ts"] <= ts) or kind == "track" and doc is None:
+            doc = {**value, "_ts": ts}
+    return doc
+
+
+def test_hot_keys_fold_by_ranges(spark, monkeypatch):
+    """Keys of many operations give what the sequential models give, and what the common way gives."""
+    rng = random.Random(10)
+    kinds = ["user_set", "user_setOnce", "user_add", "user_unset", "user_del", "user_other"]
+    rows = [(u, s, rng.choices(kinds, [5, 2, 5, 2, 0.3, 2])[0], rng.randint(1, 9), s + rng.choice([0, 0, -4, -9])) for u in range(6) for s in range(5 if u > 2 else 90)]
+    frame = spark.createDataFrame(rows, "user_id long, seq long, type string, v int, _ts long").withColumn(
+        "doc", F.create_map(F.lit("p"), F.col("v").cast("string"), F.lit("_ts"), F.col("_ts").cast("string"))
+    )
+    lists = frame.withColumn("type", F.when(F.col("seq") % 11 == 0, "user_set").when(F.col("seq") % 2 == 0, "user_append").otherwise("user_uniq_append"))
+    read = lambda df, key="user_id": {r[key]: r["doc"] for r in df.collect()}
+    common = read(fold_users(lists))
+    ev = ["track", "track_update", "track_overwrite"]
+    events = [(f"k{u}", s, rng.choice(ev), {f"f{rng.randint(0, 2)}": str(s)}, s + rng.choice([0, 0, -3, -8])) for u in range(5) for s in range(4 if u > 1 else 80)]
+    event_frame = spark.createDataFrame(events, "uuid string, seq long, type string, doc map<string,string>, _ts long")
+    event_frame = event_frame.withColumn("doc", F.map_concat("doc", F.create_map(F.lit("_ts"), F.col("_ts").cast("string"))))
+    monkeypatch.setattr(folds, "HOT_ROWS", 20)
+    assert set(folds.hot_keys(frame, "user_id", None)) == {0, 1, 2} and folds.hot_keys(frame, "user_id", 20) == {}
+    want = {u: sequential_user([r[1:] for r in rows if r[0] == u]) for u in range(6)}
+    assert {u: {k: int(v) for k, v in d.items()} for u, d in read(fold_users(frame)).items()} == {u: d for u, d in want.items() if d is not None}
+    assert read(fold_users(lists)) == common
+    want = {f"k{u}": sequential_events([r[1:] for r in events if r[0] == f"k{u}"]) for u in range(5)}
+    assert read(fold_events(event_frame), "uuid") == {k: {**d, "_ts": str(d["_ts"])} for k, d in want.items()}
+
+
+def test_running_totals_by_ranges(spark, monkeypatch):
+    from tidefold.operators import order
+
+    monkeypatch.setattr(order, "RANGE_ROWS", 7)
+    rng = random.Random(3)
+    for kind in ("long", "string"):
+        rows = {f"{rng.randint(0, 10**6):07d}": rng.randint(0, 9) for _ in range(60)}
+        df = spark.createDataFrame([(k, v) for k, v in rows.items()], "k string, v int").withColumn("k", F.col("k").cast(kind))
+        got = {r["k"]: r["t"] for r in order.running_total(df, "k", F.col("v"), "t").collect()}
+        assert got == {(int(k) if kind == "long" else k): sum(v for o, v in rows.items() if o < k) for k in rows}
+
+
 def test_lists_and_events(spark):
     doc = lambda v: {"t": v}
     ops = [(1, 1, "user_append", doc('["a","a"]'), 1), (1, 2, "user_uniq_append", doc('["b","a","b"]'), 2), (1, 3, "user_append", doc('"b"'), 3)]

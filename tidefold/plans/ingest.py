@@ -104,9 +104,9 @@ def _fold(tx: Transaction, records: DataFrame, start: int) -> UploadResult:
     whole = F.map_concat(F.map_filter("doc", lambda k, _: k != "#user_id"), F.create_map(F.lit("#user_id"), F.col("user_id").cast("string")))
     resolved = tx.stage(attach(valid, accounts, devices).withColumn("doc", whole))
     if n("user"):
-        _users(tx, resolved.where("kind = 'user'"))
+        _users(tx, resolved.where("kind = 'user'"), n("user"))
     if n("event"):
-        _events(tx, resolved.where("kind = 'event'"), union("events"))
+        _events(tx, resolved.where("kind = 'event'"), union("events"), n("event"))
     return result
 
 
@@ -152,33 +152,33 @@ def _identities(tx: Transaction, valid: DataFrame, most_new: int, named: tuple[b
     return accounts, devices
 
 
-def _users(tx: Transaction, ops: DataFrame) -> None:
+def _users(tx: Transaction, ops: DataFrame, rows: int) -> None:
     """Fold operations into the buckets of their users; the other users of a bucket are copied as they are."""
     touched = [r[0] for r in ops.select(bucket_of(F.col("user_id"), tx.buckets("user"))).distinct().collect()]
     stored = tx.read("user", touched)
     if stored is None:
-        tx.rewrite("user", fold_users(ops), touched, "user_id")
+        tx.rewrite("user", fold_users(ops, rows=rows), touched, "user_id")
         return
     keys = ops.select("user_id").distinct()
-    folded = fold_users(ops, stored.join(keys, "user_id", "left_semi"))
+    folded = fold_users(ops, stored.join(keys, "user_id", "left_semi"), 2 * rows)
     tx.rewrite("user", folded.unionByName(stored.join(keys, "user_id", "left_anti").select("user_id", "doc")), touched, "user_id")
 
 
-def _events(tx: Transaction, ops: DataFrame, touched: list[int]) -> None:
+def _events(tx: Transaction, ops: DataFrame, touched: list[int], rows: int) -> None:
     """New events are added; only buckets with changes of stored events are rewritten."""
     stored = tx.read("event", touched)
     if stored is None:
-        tx.append("event", fold_events(ops), "uuid")
+        tx.append("event", fold_events(ops, rows=rows), "uuid")
         return
     old = tx.stage(stored.select("uuid").join(ops.select("uuid").distinct(), "uuid", "left_semi"))
     fresh = ops.join(old, "uuid", "left_anti")
     changes = ops.where(F.col("type").isin("track_update", "track_overwrite")).join(old, "uuid", "left_semi")
     buckets = [r[0] for r in changes.select(bucket_of(F.col("uuid"), tx.buckets("event"))).distinct().collect()]
     if buckets:
-        rows, keys = tx.read("event", buckets), changes.select("uuid").distinct()
-        folded = fold_events(changes, rows.join(keys, "uuid", "left_semi"))
-        tx.rewrite("event", folded.unionByName(rows.join(keys, "uuid", "left_anti").select("uuid", "doc")), buckets, "uuid")
-    tx.append("event", fold_events(fresh), "uuid")
+        before, keys = tx.read("event", buckets), changes.select("uuid").distinct()
+        folded = fold_events(changes, before.join(keys, "uuid", "left_semi"), 2 * rows)
+        tx.rewrite("event", folded.unionByName(before.join(keys, "uuid", "left_anti").select("uuid", "doc")), buckets, "uuid")
+    tx.append("event", fold_events(fresh, rows=rows), "uuid")
 
 
 def id_mapping(store_read) -> DataFrame | None:
