@@ -253,7 +253,7 @@ def test_reader_stops_at_a_long_line(caplog, monkeypatch):
         assert list(files.read_lines(io.StringIO("short\r\n" + "x" * 11 + "\nafter\n"))) == ["short"]
     assert "line 2 is longer than 10 bytes" in caplog.text
     assert files.normal_path("/mnt/c/logs/x") == files.normal_path("C:\\logs\\x") == "/c/logs/x"
-    assert files.watched_roots(["/a/*.log", "/a/b/**/x", "/c/d.log"]) == ["/a", "/c"]
+    assert files.discover(["/no such folder/*.log"]) == []
 
 
 def test_settings_in_yaml():
@@ -291,6 +291,29 @@ def test_reporter_sums_and_summarises():
     assert said == [("statistics", 3, 1), ("statistics", 7, 2), ("summary", 7, 2)]
 
 
+def test_users_are_looked_up_and_engines_made_from_settings(spark, tmp_path):
+    made = Engine.from_settings(spark, f"store:\n  root: {tmp_path}/store\n  buckets: 4\nfilter:\n  exclude: ['n == 9']\n".encode(), mode="single")
+    both = json.dumps({"#type": "track", "#uuid": "1", "#time": "t", "#event_name": "x", "#account_id": "a", "#distinct_id": "d"})
+    only = json.dumps({"#type": "track", "#uuid": "2", "#time": "t", "#event_name": "x", "#distinct_id": "e"})
+    assert made.upload([both, only, line("track", "3", n=9)]).to_dict()["filtered"] == 1
+    assert [made.user_of(*ids) for ids in (("a", ""), ("", "d"), ("", "e"), ("new", "e"), ("a", "e"), ("", "new"))] == [1, 1, 2, 2, 1, None]
+    assert made.store.state().tables["event"].buckets == 4
+    with pytest.raises(ValueError, match="root"):
+        Engine.from_settings(spark, "port: 1")
+
+
+def test_batches_shrink_as_the_backlog_grows(tmp_path):
+    from tidefold.sources.tail import TailReader
+
+    log = tmp_path / "a.log"
+    log.write_bytes(b"0123456789abcde\n" * 4096)
+    ends = []
+    for limit in (64, 2048, 1 << 20):
+        reader = TailReader([str(log)], limit)
+        ends.append(json.loads(reader.latestOffset()["files"])[str(log)][1])
+    assert ends == [16, 512, 4096 * 16]
+
+
 def test_served_answers(engine):
     import threading
     import urllib.request

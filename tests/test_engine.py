@@ -14,7 +14,7 @@ from tidefold.operators.folds import fold_events, fold_users
 from tidefold.operators.identity import assign, bindings, resolve
 from tidefold.plans.config_store import ConfigWatcher, merge, union_rules
 from tidefold.sources.files import discover, from_files, normal_path, walk_root
-from tidefold.streaming.follow import flush_threshold
+from tidefold.sources.tail import flush_threshold
 
 
 def line(kind, uuid, account="a1", distinct="", name="ev", **props):

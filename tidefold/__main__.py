@@ -22,11 +22,12 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--settings", type=argparse.FileType())
     parser.add_argument("--mode", choices=["set", "append"], default="set")
     args = parser.parse_args(argv)
-    s = settings.load(args.settings.read() if args.settings else "", root=args.root)
+    text = args.settings.read() if args.settings else ""
+    s = settings.load(text, root=args.root)
     spark = SparkSession.builder.appName("tidefold").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     spark.sparkContext.setLogLevel(s.log_level)
     logging.basicConfig(level=s.log_level, format="%(asctime)s %(levelname)s %(name)s %(message)s")
-    engine = Engine(spark, s.root, s.include, s.exclude, mode=s.mode, batch_size=s.batch_size, workers=s.workers or None, buckets=s.buckets) if s.root else None
+    engine = Engine.from_settings(spark, text, root=args.root) if s.root else None
     if args.function == "serve":
         from .server import serve
 

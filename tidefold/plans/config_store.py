@@ -10,7 +10,6 @@ from ..functions.rules import compile_rules
 from .store import Conflict, Store
 
 RESERVED = ("_id", "version")
-SUBTREES = ("filter",)
 
 
 class ConfigError(ValueError):
@@ -22,22 +21,43 @@ def union_rules(stored: list[str], fresh: list[str]) -> list[str]:
     return [*stored, *(r for i, r in enumerate(fresh) if r not in stored and r not in fresh[:i])]
 
 
-def validate(doc: dict[str, Any]) -> dict[str, Any]:
+def validate_filter(tree: Any) -> None:
+    """Rules of a filter subtree, by a dry run of the compiler."""
     from pyspark.sql import functions as F
 
-    body = {k: v for k, v in doc.items() if k not in RESERVED}
-    if not body:
-        raise ConfigError("the config document is empty")
-    for name, tree in body.items():
-        if name not in SUBTREES:
-            raise ConfigError(f"unknown subtree {name}")
-        if not isinstance(tree, dict):
-            raise ConfigError(f"{name} must be an object")
-        for side, rules in tree.items():
-            if side not in ("include", "exclude") or not isinstance(rules, list) or not all(isinstance(r, str) for r in rules):
-                raise ConfigError(f"filter.{side} must be a list of strings")
-            compile_rules(rules, side, F.col("doc"))
-    return body
+    if not isinstance(tree, dict):
+        raise ConfigError("filter must be an object")
+    for side, rules in tree.items():
+        if side not in ("include", "exclude") or not isinstance(rules, list) or not all(isinstance(r, str) for r in rules):
+            raise ConfigError(f"filter.{side} must be a list of strings")
+        compile_rules(rules, side, F.col("doc"))
+
+
+class Registry:
+    """Subtrees that a config document may have: what checks each, and what puts it in force."""
+
+    def __init__(self) -> None:
+        self.checks: dict[str, Callable[[Any], None]] = {"filter": validate_filter}
+        self.appliers: dict[str, Callable[[Any], None]] = {}
+
+    def register(self, name: str, check: Callable[[Any], None], apply: Callable[[Any], None]) -> None:
+        self.checks[name], self.appliers[name] = check, apply
+
+    def validate(self, doc: dict[str, Any]) -> dict[str, Any]:
+        """The document without its own fields; ConfigError or RuleError if it isn't well formed."""
+        body = {k: v for k, v in doc.items() if k not in RESERVED}
+        if not body:
+            raise ConfigError("the config document is empty")
+        for name, tree in body.items():
+            if name not in self.checks:
+                raise ConfigError(f"unknown subtree {name}")
+            self.checks[name](tree)
+        return body
+
+    def apply(self, doc: dict[str, Any]) -> None:
+        """Put all subtrees in force; one that the document lacks is applied as empty."""
+        for name, put in self.appliers.items():
+            put(doc.get(name) or {})
 
 
 def merge(stored: dict[str, Any], delta: dict[str, Any]) -> dict[str, Any]:
@@ -63,8 +83,8 @@ def version_of(doc: dict[str, Any] | None) -> int:
 class ConfigStore:
     """One JSON document in the store's file system; a version is written once, under its own name."""
 
-    def __init__(self, spark, root: str) -> None:
-        self.store = Store(spark, root)
+    def __init__(self, spark, root: str, registry: Registry | None = None) -> None:
+        self.store, self.registry = Store(spark, root), registry or Registry()
 
     def _names(self) -> list[str]:
         return sorted(n for n in self.store.list("_config") if n.endswith(".json") and not n.startswith("."))
@@ -93,12 +113,12 @@ class ConfigStore:
         raise ConfigError("the config document changes too fast")
 
     def publish(self, doc: dict[str, Any]) -> int:
-        body = validate(doc)
+        body = self.registry.validate(doc)
         return self._next(lambda stored: {**{k: v for k, v in stored.items() if k not in RESERVED}, **body})
 
     def append(self, delta: dict[str, Any]) -> int:
-        validate(delta)
-        return self._next(lambda stored: validate(merge(stored, delta)))
+        self.registry.validate(delta)
+        return self._next(lambda stored: self.registry.validate(merge(stored, delta)))
 
 
 class ConfigWatcher:

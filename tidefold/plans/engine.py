@@ -11,16 +11,17 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import settings
 from ..functions.extended_json import ObjectId, decode, encode, typed
 from ..functions.rules import RuleError, compile_rules
 from ..operators import documents
 from ..operators.documents import DocumentError
 from ..sources.files import from_lines
-from .config_store import ConfigStore, version_of
+from .config_store import ConfigStore, Registry, validate_filter, version_of
 from .document_store import KEYS, DocumentStore, frame_of
-from .ingest import UploadResult, ingest
+from .ingest import ACCOUNTS, DEVICES, UploadResult, ingest
 from .sql_api import SqlApi, SqlResult
-from .store import BUCKETS, Store, Transaction
+from .store import BUCKETS, Store, Transaction, bucket_of
 
 LOG = logging.getLogger(__name__)
 MODES = ("single", "batch", "pipeline")
@@ -59,11 +60,21 @@ class Engine:
         self, spark: SparkSession, root: str, include: list[str] = (), exclude: list[str] = (), use_config: bool = True,
         mode: str = "batch", batch_size: int = 0, workers: int | None = None, buckets: int = BUCKETS,
     ) -> None:
-        self.spark, self.store, self.config = spark, Store(spark, root, buckets), ConfigStore(spark, root)
+        self.spark, self.store, self.registry = spark, Store(spark, root, buckets), Registry()
+        self.config = ConfigStore(spark, root, self.registry)
         self.documents = DocumentStore(self.store)
         self.include, self.exclude, self.use_config = list(include), list(exclude), use_config
         self.mode, self.batch_size, self.workers = parse_mode(mode), batch_size, workers
         self.holder, self.config_version = RuleHolder(include, exclude), 0
+        self.registry.register("filter", validate_filter, self._apply_filter)
+
+    @classmethod
+    def from_settings(cls, spark: SparkSession, text: str | bytes = "", **flags: Any) -> Engine:
+        """An engine by settings as JSON or YAML; flags win over them (see ``settings``)."""
+        s = settings.load(text, **flags)
+        if not s.root:
+            raise ValueError("root is required")
+        return cls(spark, s.root, s.include, s.exclude, mode=s.mode, batch_size=s.batch_size, workers=s.workers or None, buckets=s.buckets)
 
     def rules(self) -> tuple[list[str], list[str]]:
         """Own rules and the published ones; a published set that doesn't compile leaves the last good one in force."""
@@ -78,7 +89,9 @@ class Engine:
     def apply_published(self, doc: dict[str, Any]) -> None:
         """Put published rules in force beside the engine's own; RuleError if one doesn't compile."""
         self.config_version = max(self.config_version, version_of(doc))
-        published = doc.get("filter", {})
+        self.registry.apply(doc)
+
+    def _apply_filter(self, published: dict[str, list[str]]) -> None:
         self.holder.swap([*self.include, *published.get("include", [])], [*self.exclude, *published.get("exclude", [])])
 
     def upload(self, lines: Iterable[str], mode: str | None = None) -> UploadResult:
@@ -199,6 +212,18 @@ class Engine:
                     document[k] = each if op in ("$push", "$addToSet") else v
         return {"matchedCount": 0, "modifiedCount": 0, "upsertedId": self._insert(tx, name, document)}
 
+    def user_of(self, account_id: str = "", distinct_id: str = "") -> int | None:
+        """Number of the user that an account, or else a device, is bound to; only their buckets of the index are read."""
+        state = self.store.state()
+        for name, key, value in ((ACCOUNTS, "account_id", account_id), (DEVICES, "distinct_id", distinct_id)):
+            table = state.tables.get(name)
+            if not value or table is None:
+                continue
+            bucket = self.spark.range(1).select(bucket_of(F.lit(value), table.buckets)).first()[0]
+            if (row := self.store.frame(table, [bucket]).where(F.col(key) == value).agg(F.min("user_id")).first()) and row[0] is not None:
+                return row[0]
+        return None
+
     def watch(self, name: str, since: int = 0) -> tuple[int, DataFrame | None]:
         """The last commit's number, and the rows of a table that were added and removed since an earlier one."""
         now = self.store.state().number

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import logging
+import os
 import re
 from collections.abc import Iterable, Iterator
 from typing import TextIO
@@ -67,7 +68,8 @@ def walk_root(pattern: str) -> str:
 
 def discover(patterns: Iterable[str]) -> list[str]:
     """Files that match any pattern (``*``, ``**``, ``?``, ``[..]``), each once, sorted."""
-    return sorted({f for p in patterns for f in glob.glob(normal_path(p), recursive=True)})
+    known = [p for p in map(normal_path, patterns) if os.path.isdir(walk_root(p))]
+    return sorted({f for p in known for f in glob.glob(p, recursive=True)})
 
 
 def normal_path(path: str) -> str:
@@ -77,8 +79,3 @@ def normal_path(path: str) -> str:
         return f"/{(m[1] or m[2]).lower()}/{m[3]}"
     return path
 
-
-def watched_roots(patterns: Iterable[str]) -> list[str]:
-    """The folders below which the patterns can match; a folder inside another one is left out."""
-    roots = sorted({walk_root(normal_path(p)) for p in patterns})
-    return [r for i, r in enumerate(roots) if not any(r.startswith(o.rstrip("/") + "/") for o in roots[:i])]

@@ -38,7 +38,36 @@ def complete_end(path: str, start: int, size: int, step: int = 1 << 16) -> int:
     return start
 
 
+def next_end(path: str, start: int, size: int, step: int = 1 << 16) -> int | None:
+    """Position after the first line end in [start, size), or None."""
+    with open(path, "rb") as f:
+        f.seek(start)
+        at = start
+        while at < size:
+            part = f.read(min(step, size - at))
+            if (found := part.find(b"\n")) >= 0:
+                return at + found + 1
+            at += len(part) or size
+    return None
+
+
+def flush_threshold(low: int, initial: int, high: int, backlog: int, capacity: int) -> int:
+    """Batch size by backlog: the largest when idle, ``initial`` half full, the smallest when full; linear between."""
+    low = max(low, 1)
+    initial = max(initial if initial > 0 else low, low)
+    high = max(high if high > 0 else initial, initial)
+    if capacity <= 0 or backlog <= 0:
+        return high
+    r = backlog / capacity
+    if r >= 1:
+        return low
+    a, b, t = (high, initial, r / 0.5) if r <= 0.5 else (initial, low, (r - 0.5) / 0.5)
+    return int(a + (b - a) * t)
+
+
 class TailReader(DataSourceStreamReader):
+    """``limit`` is what a batch takes of a file at most; less when files hold much that is unread, down to a 64th."""
+
     def __init__(self, patterns: list[str], limit: int) -> None:
         self.patterns, self.limit, self.known = patterns, limit, {}
 
@@ -46,19 +75,21 @@ class TailReader(DataSourceStreamReader):
         return {"files": "{}", "epoch": "0"}
 
     def latestOffset(self) -> dict:
-        files = {}
+        files, found = {}, {}
         for path in discover(self.patterns):
             try:
                 stat = os.stat(path)
             except OSError:
                 continue
             inode, position = self.known.get(path, (stat.st_ino, 0))
-            if inode != stat.st_ino or stat.st_size < position:
-                position = 0
-            size = min(stat.st_size, position + self.limit)
+            found[path] = stat, 0 if inode != stat.st_ino or stat.st_size < position else position
+        unread = sum(stat.st_size - position for stat, position in found.values())
+        limit = flush_threshold(self.limit >> 6, self.limit >> 2, self.limit, unread, 64 * self.limit * max(1, len(found)))
+        for path, (stat, position) in found.items():
+            size = min(stat.st_size, position + limit)
             end = complete_end(path, position, size)
             if end == position and size < stat.st_size:  # a line longer than the limit
-                end = complete_end(path, position, stat.st_size)
+                end = next_end(path, size, stat.st_size) or position
             files[path] = (stat.st_ino, end)
         self.known = files
         return {"files": json.dumps(files, sort_keys=True), "epoch": "0"}

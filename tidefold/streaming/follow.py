@@ -84,16 +84,3 @@ def follow(
     writer = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
-
-def flush_threshold(low: int, initial: int, high: int, backlog: int, capacity: int) -> int:
-    """Batch size by backlog: the largest when idle, ``initial`` half full, the smallest when full; linear between."""
-    low = max(low, 1)
-    initial = max(initial if initial > 0 else low, low)
-    high = max(high if high > 0 else initial, initial)
-    if capacity <= 0 or backlog <= 0:
-        return high
-    r = backlog / capacity
-    if r >= 1:
-        return low
-    a, b, t = (high, initial, r / 0.5) if r <= 0.5 else (initial, low, (r - 0.5) / 0.5)
-    return int(a + (b - a) * t)
