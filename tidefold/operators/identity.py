@@ -6,6 +6,8 @@ account then adopts the device's user, if it is the first to do so; known bindin
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,14 +22,18 @@ def _numbered(values: DataFrame, first: int, rows: int | None) -> DataFrame:
     return running_total(values, "u", F.lit(1), "user_id", rows).select("u", (F.col("user_id") + first).alias("user_id"))
 
 
-def assign(records: DataFrame, known: DataFrame | None = None, first: int | None = None, rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+def assign(
+    records: DataFrame, known: DataFrame | None = None, first: int | None = None, rows: int | None = None,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> tuple[DataFrame, DataFrame]:
     """Users of the records' accounts (account_id, user_id) and devices (distinct_id, user_id, owned, seq).
 
     ``records`` has seq, account_id and distinct_id; empty strings are absent ids. ``known`` (user_id,
     account_id, distinct_ids) holds earlier bindings, of these ids at least: it goes before the records as
     rows of its own, and keeps its numbers. New users are numbered from ``first``, by default after the
     largest known one. ``owned`` tells whether a device's user has an account; ``seq`` is the device's first.
-    ``rows`` is a bound of the number of new users, if one is known.
+    ``rows`` is a bound of the number of new users, if one is known; ``keep`` puts away a frame that is
+    read several times.
     """
     ids = records.select("seq", F.coalesce("account_id", F.lit("")).alias("a"), F.coalesce("distinct_id", F.lit("")).alias("d"))
     numbered = None
@@ -44,16 +50,18 @@ def assign(records: DataFrame, known: DataFrame | None = None, first: int | None
         ids = old.select("seq", "a", "d").unionByName(ids)
         first = top + 1 if first is None else first
     accounts = ids.where("a <> ''").groupBy("a").agg(F.min("seq").alias("s_a"), F.min_by("d", F.struct("seq", "d")).alias("d_a"))
+    accounts = keep(accounts)
     devices = ids.where("d <> ''").groupBy("d").agg(F.min("seq").alias("s_d"), F.min_by("a", F.struct("seq", "a")).alias("a_d"))
+    devices = keep(devices)
     anonymous = devices.where("a_d = ''").select("d", "s_d")
     claims = accounts.where("d_a <> ''").groupBy("d_a").agg(F.min_by("a", "s_a").alias("claimer"))
     claims = claims.join(anonymous, claims["d_a"] == anonymous["d"]).select("d", F.col("claimer").alias("a"), "s_d")
-    of_account = accounts.join(claims.select("a", "s_d"), "a", "left").select("a", F.coalesce("s_d", "s_a").alias("u_a"))
+    of_account = keep(accounts.join(claims.select("a", "s_d"), "a", "left").select("a", F.coalesce("s_d", "s_a").alias("u_a")))
     # the devices with and without a first account apart: a join on an absent account would gather the latter in one task
     bound = devices.where("a_d <> ''").join(of_account, F.col("a_d") == of_account["a"])
     bound = bound.select("d", F.col("u_a").alias("u_d"), F.lit(True).alias("owned"), "s_d")
     free = anonymous.join(claims.select("d", F.lit(True).alias("claimed")), "d", "left")
-    of_device = bound.unionByName(free.select("d", F.col("s_d").alias("u_d"), F.coalesce("claimed", F.lit(False)).alias("owned"), "s_d"))
+    of_device = keep(bound.unionByName(free.select("d", F.col("s_d").alias("u_d"), F.coalesce("claimed", F.lit(False)).alias("owned"), "s_d")))
     made = of_account.select(F.col("u_a").alias("u")).unionByName(of_device.select(F.col("u_d").alias("u"))).distinct()
     if numbered is None:
         numbers = _numbered(made, first or 1, rows)

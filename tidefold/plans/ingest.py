@@ -137,7 +137,7 @@ def _identities(tx: Transaction, valid: DataFrame, most_new: int, named: tuple[b
         old_devices.select("user_id", owner.alias("account_id"), F.array("distinct_id").alias("distinct_ids"))
     )
     top = tx.base.counters.get("user_id", 0)
-    accounts, devices = map(tx.stage, assign(valid, known, top + 1, most_new))
+    accounts, devices = map(tx.stage, assign(valid, known, top + 1, most_new, tx.stage))
     new_accounts = accounts.join(old_accounts.select("account_id"), "account_id", "left_anti")
     had = old_devices.select("distinct_id", F.col("owned").alias("had"))
     new_devices = devices.join(had, "distinct_id", "left").where("had is null or (owned and not had)").drop("had")

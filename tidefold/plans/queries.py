@@ -74,8 +74,13 @@ def _answer(spark: SparkSession, engine: Engine, schema: str, **request) -> Data
 
 
 def _lines(spark: SparkSession, sf_dir: str, kind: Column, **fields: Column) -> DataFrame:
-    """(line, seq, ts): a line of JSON for each event; null fields are left out."""
+    """(line, seq, ts): a line of JSON for each event; null fields are left out.
+
+    The rows of a table that is a single small file are dealt to all cores, since parsing is their work.
+    """
     e = table(spark, sf_dir, "events")
+    if (cores := spark.sparkContext.defaultParallelism) > e.rdd.getNumPartitions():
+        e = e.repartition(cores)
     base = {
         "#uuid": F.concat(F.lit("e"), "event_id"), "#type": kind, "#time": F.lit("2024-01-01 00:00:00"),
         "#event_name": F.col("event_type"), "#account_id": F.concat(F.lit("u"), "user_id"),
