@@ -31,8 +31,8 @@ from ._links import components, join_by_key, meetings
 SEED = 20
 #: The random bits repeat after PERIOD steps; characters fall in CLASSES classes by hash.
 PERIOD, CLASSES = 4096, 64
-#: Octaves of steps, and samples in each. The first octave is the first SAMPLES steps, all of them; each
-#: later one is as wide as all before it. The last ends at 2**31 steps, about a thousand million characters.
+#: Octaves of steps, and samples in each, one at random in each equal part. The first octave is the first
+#: SAMPLES steps, all of them; each later one is as wide as all before it. The last ends at 2**31 steps, about a thousand million characters.
 OCTAVES, SAMPLES = 28, 16
 #: Independent walks of a fingerprint, and what stands between them in it.
 WALKS, BETWEEN = 4, "-"
@@ -72,7 +72,7 @@ class OneWalk:
         steps = []
         for k in range(OCTAVES):
             low, width = octave(k)
-            steps.append(low + np.sort(rng.choice(width, SAMPLES, replace=False) if k < 8 else rng.integers(0, width, SAMPLES)))
+            steps.append(low + ((np.arange(SAMPLES) + rng.random(SAMPLES)) * (width // SAMPLES)).astype(np.int64))
         self.steps = np.concatenate(steps)
         self.values = rng.integers(1, 16, (997, 251), np.int64)
 
@@ -204,13 +204,13 @@ _TOTALS = np.concatenate([[0.0], np.cumsum(_WEIGHTS)])
 def likeness(a: str, b: str) -> float:
     """The greatest, over the walks, share of equal samples. Two empty fingerprints are equal.
 
-    Where a walk has all samples equal but another hasn't, it is the mean, so only equal fingerprints are wholly alike.
+    Where one walk has all samples equal but another hasn't, it stays a little below one: only equal fingerprints are wholly alike.
     """
     if a == b:
         return 1.0
     shares = [_likeness(x.encode(), y.encode()) for x, y in zip(a.split(BETWEEN), b.split(BETWEEN), strict=False) if x or y]
     best = max(shares, default=0.0)
-    return best if best < 1 else sum(shares) / len(shares)
+    return best if best < 1 else 1 - 0.001 * (1 - sum(shares) / len(shares))
 
 
 def _likeness(a: bytes, b: bytes) -> float:
