@@ -401,7 +401,7 @@ def ejson_update_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
     ask = lambda update: engine.ejson({"action": "updateOne", "collection": "part", "filter": {"_id": {"$numberLong": "7"}}, "update": update})
     ask({"$set": {"p_brand": "set", "tags": ["x"]}, "$max": {"p_size": 1000}})
     ask({"$addToSet": {"tags": {"$each": ["x", "y"]}}, "$unset": {"p_size": ""}})
-    return engine.documents.read("part").select("_id", "p_brand", "p_size", F.array_join("tags", ",").alias("tags"))
+    return engine.documents.read("part").select("_id", "p_brand", F.col("p_size").cast("int").alias("p_size"), F.array_join("tags", ",").alias("tags"))
 
 
 @query(f"SELECT * FROM ({_PART}) WHERE _id <> (SELECT min(p_partkey) FROM part WHERE p_size > 40)")
@@ -445,7 +445,7 @@ def ejson_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("found", int(first["document"]["#user_id"] == 1)), ("events", found["documents"][0]["n"] if found["documents"] else 0), ("dated", len(dated)),
         ("matched", update["matchedCount"]), ("modified", update["modifiedCount"]), ("deleted", gone["deletedCount"]), ("refused", refused),
     ]
-    return spark.createDataFrame(rows, "step string, n int")
+    return spark.createDataFrame(rows, "step string, n long")
 
 
 def _select(name: str, text: str, *tables: str) -> None:
@@ -524,7 +524,7 @@ def sql_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         except SqlError as e:
             known = next((k for k in ("parse SQL: syntax error",) if str(e).startswith(k)), str(e))
             rows.append(("error", 0, 0, 0, known))
-    return spark.createDataFrame(rows, "kind string, matched int, modified int, deleted int, error string")
+    return spark.createDataFrame(rows, "kind string, matched long, modified long, deleted int, error string")
 
 
 @query("SELECT event_type AS event_name, count(*) AS n FROM events WHERE event_id % 8 > 1 GROUP BY event_type")
